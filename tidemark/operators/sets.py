@@ -52,3 +52,19 @@ def surrogate_keys(df: DataFrame, order: list[str], name: str, start: int) -> Da
 def stratified_sample(df: DataFrame, key: str, rate_millionths: Column, seed: int) -> DataFrame:
     """Keep each row with the rate of its stratum, decided by a hash of its key."""
     return df.filter(uniform_millionths(F.col(key), seed) < rate_millionths)
+
+
+def weighted_assignment(
+    df: DataFrame, key: str, choices: DataFrame, value: str, weight: str, seed: int
+) -> DataFrame:
+    """Give every row one choice, with probability proportional to the choice's weight.
+
+    Each choice fills as many numbered slots as its weight; a row draws a slot from the hash of
+    its key, which makes the lookup an equi join.
+    """
+    filled = choices.select(value, F.explode(F.sequence(F.lit(1), F.col(weight))).alias("copy"))
+    slots = dense_ranks(filled, [value, "copy"], "slot", 0).select("slot", value)
+    total = slots.agg(F.count(F.lit(1)).alias("n_slots"))
+    draw = F.floor(uniform_millionths(F.col(key), seed) * F.col("n_slots") / 1_000_000)
+    drawn = df.join(F.broadcast(total)).withColumn("slot", draw.cast("bigint"))
+    return drawn.join(slots, "slot").drop("slot", "n_slots")

@@ -299,10 +299,11 @@ def campaign_uptake(digital: DataFrame, holdings: DataFrame) -> DataFrame:
     before = F.lag("products_count").over(
         Window.partitionBy("customer_id").orderBy("snapshot_month")
     )
-    gains = holdings.select(
-        "customer_id", "snapshot_month",
-        F.greatest(F.lit(0), F.col("products_count") - before).alias("gain"),
-    ).filter(F.col("gain").isNotNull())
+    gains = (
+        holdings.select("customer_id", "snapshot_month", "products_count", before.alias("before"))
+        .filter(F.col("before").isNotNull())
+        .withColumn("gain", F.greatest(F.lit(0), F.col("products_count") - F.col("before")))
+    )
     exposure = digital.select(
         "customer_id", "snapshot_month",
         F.when(F.col("campaigns_responded") > 0, "responded")

@@ -68,7 +68,8 @@ def inline_table(spark: SparkSession, columns: tuple[str, ...], rows) -> DataFra
             return f"{value!r}D"
         if isinstance(value, int):
             return str(value)
-        return "'" + str(value).replace("'", "\\'") + "'"
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
 
     values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import constants as K
@@ -155,6 +157,12 @@ SCHEMAS: dict[str, T.StructType] = {
 
 LOAD_ORDER = tuple(SCHEMAS)
 
+
+def cast_contract(df: DataFrame, name: str) -> DataFrame:
+    """Columns of a table in declared order and type."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
+
+
 # Partition column of each monthly table; the rest are static.
 PARTITION_COLUMN = {
     "account_monthly_snapshot": "snapshot_month",
