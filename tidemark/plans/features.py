@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.calendar import month_index, tenure_months
-from tidemark.functions.money import exact_mean
 from tidemark.functions.scores import floored_diff, ratio_change, safe_rate
 from tidemark.operators.joins import with_customer
 from tidemark.operators.panel import stack_measures
@@ -31,9 +30,9 @@ FEATURES = (
 
 MEASURES = {
     "is_spine": F.bool_or,
-    "bal_sum": F.sum, "bal_n": F.sum, "salaried": F.max,
-    "util_sum": F.sum, "util_n": F.sum,
-    "emi": F.sum,
+    "bal_cents": F.sum, "bal_n": F.sum, "salaried": F.max,
+    "util_units": F.sum, "util_n": F.sum,
+    "emi_cents": F.sum,
     "txns": F.sum, "logins": F.sum, "dormant": F.min,
     "last_login": F.max, "received": F.sum, "responded": F.sum,
     "complaints": F.sum, "unresolved": F.sum,
@@ -42,6 +41,12 @@ MEASURES = {
 }
 
 
+# Amounts travel through the panel as whole cents and utilization as ten-thousandths: 64-bit sums
+# are exact and stay on the fast path of the aggregate, which wide decimals leave.
+def _units(amount: str, scale: int) -> Column:
+    return (F.col(amount) * scale).cast("bigint")
+
+
 def _source(df: DataFrame, month: str, **columns) -> DataFrame:
     return df.select(
         "customer_id", F.col(month).alias("month"),
@@ -64,14 +69,14 @@ def panel_sources(bank) -> dict[str, DataFrame]:
     return {
         "accounts": _source(
             accounts, "snapshot_month",
-            bal_sum=F.col("current_balance"), bal_n=_one(),
+            bal_cents=_units("current_balance", 100), bal_n=_one(),
             salaried=F.when(F.col("salary_credit_amount") > 0, 1),
         ),
         "cards": _source(
             cards, "snapshot_month",
-            util_sum=F.col("utilization_rate").cast("decimal(18,4)"), util_n=_one(),
+            util_units=_units("utilization_rate", 10_000), util_n=_one(),
         ),
-        "loans": _source(loans, "snapshot_month", emi=F.col("emi_amount")),
+        "loans": _source(loans, "snapshot_month", emi_cents=_units("emi_amount", 100)),
         "activity": _source(
             activity, "snapshot_month",
             txns=(F.col("debit_txn_count") + F.col("credit_txn_count")).cast("bigint"),
@@ -113,95 +118,127 @@ def monthly_panel(bank, spine: DataFrame | None = None, only: tuple[str, ...] =
     return panel.withColumn("month_idx", month_index(F.col("month")))
 
 
-def _over(value: Column, start: int | None, end: int) -> Column:
-    first = Window.unboundedPreceding if start is None else start
+def _frame(start: int | None, end: int):
     order = Window.partitionBy("customer_id").orderBy("month_idx")
-    return value.over(order.rangeBetween(first, end))
+    return order.rangeBetween(Window.unboundedPreceding if start is None else start, end)
 
 
 def _sum(name: str, start: int | None, end: int) -> Column:
-    return _over(F.sum(name), start, end)
+    return F.sum(name).over(_frame(start, end))
 
 
-def _at(name: str, lag: int) -> Column:
-    """The value of the single panel row `lag` months back."""
-    return _over(F.max(name), -lag, -lag)
+def _mean(name: str, start: int, end: int) -> Column:
+    return F.avg(name).over(_frame(start, end))
 
 
-def _mean(name: str, start: int, end: int) -> Column:
-    return _over(F.avg(name), start, end)
+def _at(name: str, lag: int) -> Column:
+    """The value of the single panel row `lag` months back."""
+    return F.max(name).over(_frame(-lag, -lag))
+
+
+# Every window aggregate the features use, each computed once.
+FRAMES = {
+    "products_m1": lambda: _at("products", 1),
+    "products_m6": lambda: _at("products", 6),
+    "bal_recent": lambda: _mean("avg_bal", -3, -1),
+    "bal_prior": lambda: _mean("avg_bal", -6, -4),
+    "txn_recent": lambda: _mean("txns", -3, -1),
+    "txn_prior": lambda: _mean("txns", -6, -4),
+    "login_recent": lambda: _mean("logins", -6, -1),
+    "login_prior": lambda: _mean("logins", -12, -7),
+    "complaints_6m": lambda: _sum("complaints", -6, -1),
+    "unresolved_before": lambda: _sum("unresolved", None, -1),
+    "last_login_m1": lambda: _at("last_login", 1),
+    "salary_months": lambda: _sum("salaried", -6, -1),
+    "util_m1": lambda: _at("avg_util", 1),
+    "emi_m1": lambda: _at("emi_cents", 1),
+    "dormant_m1": lambda: _at("dormant", 1),
+    "nps_sum_12m": lambda: _sum("nps_sum", -12, -1),
+    "nps_n_12m": lambda: _sum("nps_n", -12, -1),
+    "responded_12m": lambda: _sum("responded", -12, -1),
+    "received_12m": lambda: _sum("received", -12, -1),
+}
 
 
-def _balance_change() -> Column:
-    return ratio_change(_mean("avg_bal", -3, -1), _mean("avg_bal", -6, -4))
+def _count(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0)).cast("int")
 
 
 def _days_since_login() -> Column:
-    days = F.date_diff(F.col("month"), _at("last_login", 1))
+    days = F.date_diff(F.col("month"), F.col("last_login_m1"))
     return F.coalesce(days, F.lit(K.DEFAULT_LOGIN_DAYS)).cast("int")
 
 
-def _nps() -> Column:
-    mean = safe_rate(_sum("nps_sum", -12, -1), _sum("nps_n", -12, -1))
-    return F.round(F.coalesce(mean, F.lit(K.DEFAULT_NPS)), 4)
-
-
-def _response_rate() -> Column:
-    rate = safe_rate(_sum("responded", -12, -1), _sum("received", -12, -1))
-    return F.round(F.coalesce(rate, F.lit(0.0)), 4)
-
+def _rate(numerator: str, denominator: str, default: float) -> Column:
+    rate = safe_rate(F.col(numerator), F.col(denominator))
+    return F.round(F.coalesce(rate, F.lit(default)), 4)
 
-def _utilization() -> Column:
-    mean = exact_mean(_at("util_sum", 1), _at("util_n", 1), 4)
-    return F.coalesce(mean.cast("double"), F.lit(0.0))
 
+def _change(recent: str, prior: str):
+    return lambda: ratio_change(F.col(recent), F.col(prior))
 
-def _count(name: str, start: int | None) -> Column:
-    return F.coalesce(_sum(name, start, -1), F.lit(0)).cast("int")
 
-
-# Each feature with the sources it needs and its expression over the panel. The EMI feature
-# leaves the panel as an amount because the income it is divided by is not a monthly measure.
+# Each feature with the sources and frames it needs and its expression over the frames. The EMI
+# feature leaves the panel as an amount because the income it is divided by is not monthly.
 WINDOW_FEATURES = {
     "products_count": (
-        ("holdings",),
-        lambda: F.coalesce(_at("products", 1), F.lit(K.DEFAULT_PRODUCTS)).cast("int"),
+        ("holdings",), ("products_m1",),
+        lambda: F.coalesce("products_m1", F.lit(K.DEFAULT_PRODUCTS)).cast("int"),
+    ),
+    "balance_change_3m": (
+        ("accounts",), ("bal_recent", "bal_prior"), _change("bal_recent", "bal_prior")
     ),
-    "balance_change_3m": (("accounts",), _balance_change),
     "txn_count_change_3m": (
-        ("activity",), lambda: ratio_change(_mean("txns", -3, -1), _mean("txns", -6, -4))
+        ("activity",), ("txn_recent", "txn_prior"), _change("txn_recent", "txn_prior")
     ),
     "login_count_change_6m": (
-        ("activity",), lambda: ratio_change(_mean("logins", -6, -1), _mean("logins", -12, -7))
+        ("activity",), ("login_recent", "login_prior"), _change("login_recent", "login_prior")
+    ),
+    "complaint_count_6m": (
+        ("complaints",), ("complaints_6m",), lambda: _count("complaints_6m")
     ),
-    "complaint_count_6m": (("complaints",), lambda: _count("complaints", -6)),
-    "unresolved_complaints": (("complaints",), lambda: _count("unresolved", None)),
-    "days_since_last_login": (("digital",), _days_since_login),
+    "unresolved_complaints": (
+        ("complaints",), ("unresolved_before",), lambda: _count("unresolved_before")
+    ),
+    "days_since_last_login": (("digital",), ("last_login_m1",), _days_since_login),
     "salary_credit_consistency": (
-        ("accounts",),
-        lambda: F.round(F.coalesce(_sum("salaried", -6, -1), F.lit(0)).cast("double") / 6.0, 4),
+        ("accounts",), ("salary_months",),
+        lambda: F.round(_count("salary_months").cast("double") / 6.0, 4),
+    ),
+    "credit_utilization": (
+        ("cards",), ("util_m1",), lambda: F.coalesce("util_m1", F.lit(0.0))
     ),
-    "credit_utilization": (("cards",), _utilization),
-    "total_emi": (("loans",), lambda: _at("emi", 1)),
+    "total_emi": (("loans",), ("emi_m1",), lambda: F.col("emi_m1") / F.lit(100.0)),
     "dormant_days": (
-        ("activity",),
-        lambda: F.coalesce(_at("dormant", 1), F.lit(K.DEFAULT_DORMANT_DAYS)).cast("int"),
+        ("activity",), ("dormant_m1",),
+        lambda: F.coalesce("dormant_m1", F.lit(K.DEFAULT_DORMANT_DAYS)).cast("int"),
+    ),
+    "nps_avg_12m": (
+        ("feedback",), ("nps_sum_12m", "nps_n_12m"),
+        lambda: _rate("nps_sum_12m", "nps_n_12m", K.DEFAULT_NPS),
+    ),
+    "campaign_response_rate": (
+        ("digital",), ("responded_12m", "received_12m"),
+        lambda: _rate("responded_12m", "received_12m", 0.0),
     ),
-    "nps_avg_12m": (("feedback",), _nps),
-    "campaign_response_rate": (("digital",), _response_rate),
     "product_acquisition_velocity_6m": (
-        ("holdings",),
+        ("holdings",), ("products_m1", "products_m6"),
         lambda: floored_diff(
-            F.coalesce(_at("products", 1), F.lit(0)), F.coalesce(_at("products", 6), F.lit(0))
+            F.coalesce("products_m1", F.lit(0)), F.coalesce("products_m6", F.lit(0))
         ),
     ),
 }
 
 
+def eligible_rows(labels: DataFrame, first_month) -> DataFrame:
+    """(customer, as-of) of every eligible label, repeated per horizon."""
+    start = F.add_months(F.lit(first_month), K.WARM_UP_MONTHS)
+    return labels.filter(F.col("as_of_month") >= start).select(*KEYS)
+
+
 def eligible_spine(labels: DataFrame, first_month) -> DataFrame:
     """Distinct (customer, as-of) pairs of the labels, from the end of the warm-up on."""
-    start = F.add_months(F.lit(first_month), K.WARM_UP_MONTHS)
-    return labels.filter(F.col("as_of_month") >= start).select(*KEYS).distinct()
+    return eligible_rows(labels, first_month).distinct()
 
 
 def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame) -> DataFrame:
@@ -220,7 +257,8 @@ def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame
         ["customer_id", "month"],
         {"delta": F.sum("delta"), "wanted": F.bool_or("wanted")},
     ).withColumn("month_idx", month_index(F.col("month")))
-    opened = monthly.withColumn("open_now", _count("delta", None)).filter("wanted")
+    so_far = F.coalesce(_sum("delta", None, -1), F.lit(0)).cast("int")
+    opened = monthly.withColumn("open_now", so_far).filter("wanted")
     fixed = opened.select("customer_id", F.col("month").alias("as_of_month"), "open_now")
     return (
         panel_rows.drop("unresolved_complaints")
@@ -232,17 +270,23 @@ def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame
 def window_features(
     bank, spine: DataFrame, names: tuple[str, ...] = tuple(WINDOW_FEATURES)
 ) -> DataFrame:
-    """The chosen window features for every spine row."""
+    """The chosen window features for every spine row; spine rows may repeat."""
     only = tuple(dict.fromkeys(s for name in names for s in WINDOW_FEATURES[name][0]))
+    frames = tuple(dict.fromkeys(f for name in names for f in WINDOW_FEATURES[name][1]))
     panel = monthly_panel(bank, spine, only)
-    if "bal_sum" in panel.columns:
-        mean = F.col("bal_sum").cast("double") / F.col("bal_n").cast("double")
-        panel = panel.withColumn("avg_bal", mean)
-    computed = panel.select(
-        "customer_id", F.col("month").alias("as_of_month"), "is_spine",
-        *[WINDOW_FEATURES[name][1]().alias(name) for name in names],
+    means = {}
+    if "bal_cents" in panel.columns:
+        means["avg_bal"] = F.col("bal_cents") / F.lit(100.0) / F.col("bal_n").cast("double")
+    if "util_units" in panel.columns:
+        half_up = F.expr("(2 * util_units + util_n) div (2 * util_n)")
+        means["avg_util"] = half_up / F.lit(10_000.0)
+    framed = panel.withColumns(means).select(
+        "customer_id", "month", "is_spine", *[FRAMES[f]().alias(f) for f in frames]
+    )
+    return framed.filter("is_spine").select(
+        "customer_id", F.col("month").alias("as_of_month"),
+        *[WINDOW_FEATURES[name][2]().alias(name) for name in names],
     )
-    return computed.filter("is_spine").drop("is_spine")
 
 
 def emi_ratio() -> Column:
@@ -253,8 +297,7 @@ def emi_ratio() -> Column:
 
 def feature_rows(bank, as_of_strict: bool = False) -> DataFrame:
     """All fifteen features, one row per eligible customer and as-of month."""
-    spine = eligible_spine(bank.customer_churn_label, bank.first_month)
-    rows = window_features(bank, spine)
+    rows = window_features(bank, eligible_rows(bank.customer_churn_label, bank.first_month))
     if as_of_strict:
         rows = _strict_open(rows, bank.customer_complaints, bank.hidden_events)
     customers = bank.customer_master.select("customer_id", "customer_since", "annual_income")
@@ -278,10 +321,10 @@ def feature_snapshot(bank, as_of_strict: bool = False) -> DataFrame:
 
 def single_feature(bank, name: str) -> DataFrame:
     """One feature on its own, reading only the tables it needs."""
-    spine = eligible_spine(bank.customer_churn_label, bank.first_month)
+    spine = eligible_rows(bank.customer_churn_label, bank.first_month)
     customers = bank.customer_master
     if name == "tenure_months":
-        rows = spine.join(customers.select("customer_id", "customer_since"), "customer_id")
+        rows = spine.distinct().join(customers.select("customer_id", "customer_since"), "customer_id")
         value = tenure_months(F.col("as_of_month"), F.col("customer_since"))
     elif name == "emi_to_income_ratio":
         rows = window_features(bank, spine, ("total_emi",)).join(

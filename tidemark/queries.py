@@ -778,8 +778,8 @@ def monthly_panel(bank):
     panel = features.monthly_panel(bank, spine(bank))
     return panel.select(
         "customer_id", "month", F.coalesce("is_spine", F.lit(False)).alias("is_spine"),
-        F.col("bal_sum").cast("decimal(18,2)").alias("balance"),
-        F.col("emi").cast("decimal(18,2)").alias("emi"),
+        (F.col("bal_cents").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("balance"),
+        (F.col("emi_cents").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("emi"),
         "txns", "logins", "dormant", "last_login", "received", "responded", "complaints",
         "unresolved", "nps_sum", "nps_n", "products",
     )

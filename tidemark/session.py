@@ -17,6 +17,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Small local files are split over the cores instead of packed into one task.
+        .config("spark.sql.files.openCostInBytes", "262144")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

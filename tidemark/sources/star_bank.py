@@ -15,6 +15,7 @@ from tidemark.functions import calendar as C
 from tidemark.functions import money as M
 from tidemark.operators import aggregates, cards, ledger, loans
 from tidemark.plans import features, labels
+from tidemark.session import scratch_path
 from tidemark.sources.bank import Bank
 
 
@@ -40,6 +41,8 @@ def flag(condition: Column) -> Column:
 
 
 class StarBank(Bank):
+    stored = frozenset({"txns"})
+
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark)
         self._root = root
@@ -53,9 +56,9 @@ class StarBank(Bank):
 
     @property
     def txn_row_bound(self) -> int:
-        """Transactions never outnumber line items; counting those reads file footers only."""
+        """Number of stored transactions; counting Parquet rows reads file footers only."""
         if self._row_bound is None:
-            self._row_bound = self._raw("lineitem").count()
+            self._row_bound = self.txns.count()
         return self._row_bound
 
     # -- masters ---------------------------------------------------------------------------
@@ -246,7 +249,18 @@ class StarBank(Bank):
     # -- facts -----------------------------------------------------------------------------
 
     def _txns(self) -> DataFrame:
-        """The transaction log without balances.
+        """The transaction log, written to the shared folder once and read from there.
+
+        Nearly every table derives from it with other columns; each would repeat the grouping and
+        join of the raw files, while a stored log is scanned with exactly the columns needed.
+        """
+        path = scratch_path(self.spark, "transaction-log")
+        log = self._derived_txns()
+        log.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(log.schema).parquet(path)
+
+    def _derived_txns(self) -> DataFrame:
+        """Transactions from order lines, without balances.
 
         Line items are summed per order line before the join, so partial sums combine map-side
         and an order with very many copies of a line stays small.
