@@ -44,12 +44,15 @@ def running_balance(
 
 
 def account_month_rollup(ledger: DataFrame) -> DataFrame:
-    """Balances, counts and sums of each account and month that has transactions."""
+    """Balances, counts and sums of each account and month that has transactions.
+
+    The closing balance follows from the net amounts, so every aggregate here has a fixed-size
+    buffer and the rows need no sorting.
+    """
     credit = F.col("direction") == "Credit"
-    last = F.max_by("balance_after_txn", F.struct("txn_timestamp", "transaction_id"))
     n = F.count(F.lit(1))
     return ledger.groupBy("account_id", F.col("txn_month").alias("snapshot_month")).agg(
-        last.alias("closing"),
+        F.sum(signed_amount()).alias("net"),
         exact_mean(F.sum("balance_after_txn"), n, 2).alias("mean_balance"),
         F.min("balance_after_txn").alias("min_balance"),
         F.max("balance_after_txn").alias("max_balance"),
@@ -91,15 +94,16 @@ def account_snapshot(
         stacked.repartition("account_id")
         .groupBy("account_id", "snapshot_month")
         .agg(*[F.max(c).alias(c) for c in measures])
-        .filter(F.col("account_status").isNotNull())
     )
     until_now = (
         Window.partitionBy("account_id")
         .orderBy("snapshot_month")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = F.coalesce(F.last("closing", ignorenulls=True).over(until_now), "opening_balance")
-    filled = monthly.withColumn("current_balance", money(carried))
+    moved = F.coalesce(F.sum("net").over(until_now), F.lit(0))
+    filled = monthly.withColumn(
+        "current_balance", money(F.col("opening_balance") + moved)
+    ).filter(F.col("account_status").isNotNull())
 
     def or_current(column: str):
         return money(F.coalesce(F.col(column), F.col("current_balance")))

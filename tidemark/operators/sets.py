@@ -64,7 +64,6 @@ def weighted_assignment(
     """
     filled = choices.select(value, F.explode(F.sequence(F.lit(1), F.col(weight))).alias("copy"))
     slots = dense_ranks(filled, [value, "copy"], "slot", 0).select("slot", value)
-    total = slots.agg(F.count(F.lit(1)).alias("n_slots"))
-    draw = F.floor(uniform_millionths(F.col(key), seed) * F.col("n_slots") / 1_000_000)
-    drawn = df.join(F.broadcast(total)).withColumn("slot", draw.cast("bigint"))
-    return drawn.join(slots, "slot").drop("slot", "n_slots")
+    n_slots = slots.agg(F.count(F.lit(1))).scalar()
+    draw = F.floor(uniform_millionths(F.col(key), seed) * n_slots / 1_000_000)
+    return df.withColumn("slot", draw.cast("bigint")).join(slots, "slot").drop("slot")

@@ -13,7 +13,7 @@ from tidemark.functions.scores import logit, sigmoid
 from tidemark.operators.ledger import primary_account
 from tidemark.operators.panel import stack_measures
 from tidemark.operators.windows import by_month_index, history, leaky_counter, streak
-from tidemark.plans.behaviour import complaint_resolution, has_event
+from tidemark.plans.behaviour import has_event, resolution_months
 from tidemark.session import inline_table
 
 
@@ -51,10 +51,13 @@ def churn_signals(bank) -> DataFrame:
             "bank_service_failure",
         )],
     )
-    resolved = complaint_resolution(bank.customer_complaints, bank.hidden_events)
+    resolved = resolution_months(bank.customer_complaints, bank.hidden_events)
+    # A number instead of the name keeps the stacked aggregate on fixed-size buffers.
+    names = F.array(*[F.lit(name) for name in K.PERSONA_NAMES])
+    persona_number = F.array_position(names, F.col("persona")).cast("int")
     digital_use = F.col("mobile_app_active") | (F.col("web_sessions") > 0)
     sources = [
-        _monthly(calendar, "snapshot_month", persona=F.col("persona"),
+        _monthly(calendar, "snapshot_month", persona_number=persona_number,
                  salary_account=F.col("salary_account_flag")),
         _monthly(accounts, "snapshot_month", balance=F.col("current_balance"),
                  salary=F.col("salary_credit_amount") > 0),
@@ -64,9 +67,9 @@ def churn_signals(bank) -> DataFrame:
                  failure=F.col("bank_service_failure")),
         _monthly(bank.product_holdings_monthly, "snapshot_month",
                  products=F.col("products_count")),
-        _monthly(resolved, "complaint_month", filed=F.lit(1)),
+        _monthly(resolved, "complaint_month", filed=F.col("n")),
         _monthly(resolved.filter(F.col("resolved_month").isNotNull()), "resolved_month",
-                 closed=F.lit(1)),
+                 closed=F.col("n")),
         _monthly(bank.loan_states, "snapshot_month", dpd=F.col("dpd_days"),
                  delinquent=F.col("loan_status") == "Delinquent"),
         _monthly(bank.digital_engagement_monthly, "snapshot_month", used=digital_use),
@@ -78,7 +81,7 @@ def churn_signals(bank) -> DataFrame:
         return F.coalesce(F.sum(name), F.lit(0))
 
     panel = stack_measures(sources, ["customer_id", "snapshot_month"], {
-        "persona": F.max("persona"),
+        "persona_number": F.max("persona_number"),
         "salary_account": any_("salary_account"),
         "balance": total("balance"),
         "salary": any_("salary"),
@@ -89,8 +92,11 @@ def churn_signals(bank) -> DataFrame:
         "filed": total("filed"),
         "closed": total("closed"),
         "dpd": F.coalesce(F.max("dpd"), F.lit(0)),
-    }).filter(F.col("persona").isNotNull())
-    panel = panel.withColumn("month_idx", month_index(F.col("snapshot_month")))
+    }).filter(F.col("persona_number").isNotNull())
+    panel = panel.withColumns({
+        "month_idx": month_index(F.col("snapshot_month")),
+        "persona": F.element_at(names, F.col("persona_number")),
+    })
     order = by_month_index()
     framed = panel.select(
         "*",

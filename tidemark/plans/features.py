@@ -15,7 +15,7 @@ from tidemark.functions.calendar import month_index, tenure_months
 from tidemark.functions.scores import floored_diff, ratio_change, safe_rate
 from tidemark.operators.joins import with_customer
 from tidemark.operators.panel import stack_measures
-from tidemark.plans.behaviour import complaint_resolution
+from tidemark.plans.behaviour import resolution_months
 
 KEYS = ("customer_id", "as_of_month")
 
@@ -243,12 +243,12 @@ def eligible_spine(labels: DataFrame, first_month) -> DataFrame:
 
 def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame) -> DataFrame:
     """Replace unresolved_complaints by what was open at the as-of month, seen from then."""
-    resolved = complaint_resolution(complaints, events)
+    resolved = resolution_months(complaints, events)
     changes = resolved.select(
-        "customer_id", F.col("complaint_month").alias("month"), F.lit(1).alias("delta")
+        "customer_id", F.col("complaint_month").alias("month"), F.col("n").alias("delta")
     ).unionByName(
         resolved.filter(F.col("resolved_month").isNotNull()).select(
-            "customer_id", F.col("resolved_month").alias("month"), F.lit(-1).alias("delta")
+            "customer_id", F.col("resolved_month").alias("month"), (-F.col("n")).alias("delta")
         )
     )
     marks = panel_rows.select("customer_id", F.col("as_of_month").alias("month"))

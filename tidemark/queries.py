@@ -679,12 +679,14 @@ def complaint_root_cause(bank):
     )
 
 
-def resolutions(bank):
-    return behaviour.complaint_resolution(bank.customer_complaints, bank.hidden_events)
+def complaint_resolution(bank):
+    return behaviour.complaint_resolution(bank.customer_complaints, bank.hidden_events).select(
+        "complaint_id", "resolved_month", "resolved_flag", "status"
+    )
 
 
-def complaint_resolution(bank):
-    return resolutions(bank).select("complaint_id", "resolved_month", "resolved_flag", "status")
+def resolutions(bank):
+    return behaviour.resolution_months(bank.customer_complaints, bank.hidden_events)
 
 
 def resolution_sla(bank):
