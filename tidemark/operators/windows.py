@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import month_index, month_sequence
+from tidemark.operators.panel import stack_measures
 
 
 def by_month(month: str = "snapshot_month", key: str = "customer_id"):
@@ -119,6 +120,28 @@ def complaints_trailing(calendar: DataFrame, complaints: DataFrame) -> DataFrame
     )
 
 
+def trailing_count(spine: DataFrame, facts: DataFrame, month: str, back: int) -> DataFrame:
+    """Facts with month in [as_of - back, as_of) per spine row: a correlated count, decorrelated.
+
+    Facts are counted per month, stacked with the spine and summed over a calendar window. One
+    exchange per step and no pairing of spine rows with facts, however many a customer has.
+    """
+    monthly = stack_measures(
+        [
+            facts.select("customer_id", F.col(month).alias("m"), F.lit(1).alias("n")),
+            spine.select("customer_id", F.col("as_of_month").alias("m"),
+                         F.lit(True).alias("wanted")),
+        ],
+        ["customer_id", "m"],
+        {"n": F.coalesce(F.sum("n"), F.lit(0)), "wanted": F.bool_or("wanted")},
+    ).withColumn("month_idx", month_index(F.col("m")))
+    inside = by_month_index().rangeBetween(-back, -1)
+    counted = monthly.withColumn("counted", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return counted.filter("wanted").select(
+        "customer_id", F.col("m").alias("as_of_month"), "counted"
+    )
+
+
 def churn_month(decisions: DataFrame) -> DataFrame:
     """First month a customer churns and the months generated up to and including it."""
     first = F.min(F.when(F.col("churned"), F.col("snapshot_month")))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.calendar import month_index
 from tidemark.operators.aggregates import mean_where
 from tidemark.operators.joins import orphans, with_customer
-from tidemark.operators.panel import stack_measures
 from tidemark.operators.sets import union_tables
+from tidemark.operators.windows import trailing_count
 from tidemark.sources.schemas import COMPOSITE_KEYS, FOREIGN_KEYS, SCHEMAS, SINGLE_KEYS
 
 # Where a monthly table gets its customer from when it has no customer_id of its own.
@@ -152,27 +151,16 @@ def leak_label_boundary(bank) -> DataFrame:
 def complaint_window_mismatches(bank) -> DataFrame:
     """Feature rows whose complaint count differs from a recount over [as_of - 6, as_of).
 
-    The recount is a correlated count per row; per-month counts and one window over the calendar
-    of each customer give it without pairing rows with complaints.
+    Horizons of one as-of month share the recount, so rows are reduced to the month first.
     """
-    complaints = bank.customer_complaints.select(
-        "customer_id", F.col("complaint_month").alias("month"), F.lit(1).alias("n")
-    )
-    wanted = bank.churn_feature_snapshot.groupBy(
-        "customer_id", F.col("as_of_month").alias("month")
-    ).agg(
+    wanted = bank.churn_feature_snapshot.groupBy("customer_id", "as_of_month").agg(
         F.max("complaint_count_6m").alias("high"), F.min("complaint_count_6m").alias("low"),
         F.count(F.lit(1)).alias("rows"),
     )
-    monthly = stack_measures(
-        [complaints, wanted], ["customer_id", "month"],
-        {"n": F.coalesce(F.sum("n"), F.lit(0)), "high": F.max("high"), "low": F.min("low"),
-         "rows": F.sum("rows")},
-    ).withColumn("month_idx", month_index(F.col("month")))
-    window = Window.partitionBy("customer_id").orderBy("month_idx").rangeBetween(-6, -1)
-    expected = F.coalesce(F.sum("n").over(window), F.lit(0))
-    rows = monthly.withColumn("expected", expected).filter(F.col("rows").isNotNull())
-    return rows.filter((F.col("high") != F.col("expected")) | (F.col("low") != F.col("expected")))
+    recount = trailing_count(wanted, bank.customer_complaints, "complaint_month", 6)
+    rows = wanted.join(recount, ["customer_id", "as_of_month"])
+    expected = F.col("counted")
+    return rows.filter((F.col("high") != expected) | (F.col("low") != expected))
 
 
 def leak_complaint_window(bank) -> DataFrame:

@@ -362,17 +362,10 @@ def cross_join_spine(bank):
 
 
 def correlated_count(bank):
-    return bank.spark.sql(
-        """
-        SELECT s.customer_id, s.as_of_month,
-          CAST(coalesce((SELECT sum(c.n) FROM {complaints} c
-            WHERE c.customer_id = s.customer_id
-              AND c.complaint_month >= add_months(s.as_of_month, -6)
-              AND c.complaint_month < s.as_of_month), 0) AS BIGINT) AS complaints
-        FROM {spine} s
-        """,
-        complaints=complaint_months(bank), spine=spine(bank),
-    )
+    rows = features.eligible_rows(bank.customer_churn_label, bank.first_month)
+    return W.trailing_count(
+        rows, bank.customer_complaints, "complaint_month", 6
+    ).withColumnRenamed("counted", "complaints")
 
 
 def scalar_subquery_bound(bank):
