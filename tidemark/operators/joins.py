@@ -48,14 +48,18 @@ def join_window(
     return joined.groupBy(F.col("s.customer_id"), F.col("s.as_of_month")).agg(*aggs)
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def orphans(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+    tags: list[str] | None = None,
+) -> DataFrame:
     """Child key values that the parent lacks, with their row counts; null keys are exempt.
 
-    Children are counted per key before the join, so a hot key travels as one row per task.
+    Children are counted per key (and per tag) before the join, so a hot key travels as one row
+    per task.
     """
     keys = (
         child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key_value"))
+        .groupBy(*(tags or []), F.col(column).alias("key_value"))
         .agg(F.count(F.lit(1)).alias("orphan_rows"))
     )
     known = parent.select(F.col(parent_column).alias("key_value"))

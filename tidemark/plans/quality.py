@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import mean_where
 from tidemark.operators.joins import orphans, with_customer
+from tidemark.operators.panel import stack_measures
 from tidemark.operators.sets import union_tables
 from tidemark.operators.windows import trailing_count
+from tidemark.session import inline_table
 from tidemark.sources.schemas import COMPOSITE_KEYS, FOREIGN_KEYS, SCHEMAS, SINGLE_KEYS
 
 # Where a monthly table gets its customer from when it has no customer_id of its own.
@@ -35,10 +37,13 @@ ACTIVITY_MONTH = {
 BEFORE_CHURN = ("customer_churn_label", "churn_feature_snapshot")
 
 
-def _report(df: DataFrame, check: str, violations: Column, detail: Column) -> DataFrame:
+def _report(
+    df: DataFrame, check: str | Column, violations: Column, detail: Column
+) -> DataFrame:
     count = F.coalesce(violations, F.lit(0)).cast("bigint")
+    name = F.lit(check) if isinstance(check, str) else check
     return df.select(
-        F.lit(check).alias("check_name"), (count == 0).alias("passed"),
+        name.alias("check_name"), (count == 0).alias("passed"),
         count.alias("violations"), detail.alias("detail"),
     )
 
@@ -70,18 +75,36 @@ def dq_composite_grain(bank) -> DataFrame:
     return union_tables([key_check(bank.table(t), t, k) for t, k in COMPOSITE_KEYS.items()])
 
 
-def foreign_key_check(bank, child: str, column: str, parent: str) -> DataFrame:
-    missing = orphans(bank.table(child), column, bank.table(parent), SINGLE_KEYS[parent])
-    totals = missing.agg(
-        F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("keys"),
+def _per_check(found: DataFrame, names: list[str], *sums: str) -> DataFrame:
+    """Totals per check name, with a row of zeros for a check that found nothing."""
+    spark = found.sparkSession
+    nothing = inline_table(spark, ("check_name",), [(name,) for name in names])
+    return stack_measures(
+        [nothing, found], ["check_name"],
+        {column: F.coalesce(F.sum(column), F.lit(0)) for column in sums},
     )
+
+
+def _foreign_keys_to(bank, parent: str) -> DataFrame:
+    """All references to one parent: children are counted per key, stacked and joined once."""
+    checks = [(c, column) for c, column, p in FOREIGN_KEYS if p == parent]
+    names = [f"foreign key {child}({column}) -> {parent}" for child, column in checks]
+    keys = union_tables([
+        bank.table(child).select(F.lit(name).alias("check_name"), F.col(column).alias("key_value"))
+        for (child, column), name in zip(checks, names)
+    ])
+    missing = orphans(keys, "key_value", bank.table(parent), SINGLE_KEYS[parent], ["check_name"])
+    found = missing.select(
+        "check_name", F.col("orphan_rows").alias("rows"), F.lit(1).alias("keys")
+    )
+    totals = _per_check(found, names, "rows", "keys")
     detail = F.concat(F.lit("orphan rows="), "rows", F.lit(", keys="), "keys")
-    return _report(totals, f"foreign key {child}({column}) -> {parent}", F.col("rows"), detail)
+    return _report(totals, F.col("check_name"), F.col("rows"), detail)
 
 
 def dq_foreign_keys(bank) -> DataFrame:
-    return union_tables([foreign_key_check(bank, *fk) for fk in FOREIGN_KEYS])
+    parents = dict.fromkeys(parent for _, _, parent in FOREIGN_KEYS)
+    return union_tables([_foreign_keys_to(bank, parent) for parent in parents])
 
 
 def _order_check(df: DataFrame, check: str, greater: Column, smaller: Column) -> DataFrame:
@@ -173,27 +196,31 @@ def leak_complaint_window(bank) -> DataFrame:
 def post_churn_activity(bank) -> DataFrame:
     """Rows of monthly tables that lie after their customer's churn month.
 
-    Rows are counted per customer and month before the state is joined, so a customer with very
-    many rows arrives at the join as one row per month.
+    Rows are counted per table, customer and month, then all tables meet the state in one join:
+    a customer with very many rows arrives there as one row per table and month.
     """
     gone = bank.churn_simulation_state.filter("churned_flag").select("customer_id", "churn_month")
-    reports = []
+    parts, names = [], []
     for table, column in ACTIVITY_MONTH.items():
         rows = bank.table(table)
         if table in OWNER:
             master, key = OWNER[table]
             rows = with_customer(rows, bank.table(master), key, "inner")
-        month = F.col("month")
-        late = month >= F.col("churn_month") if table in BEFORE_CHURN else (
-            month > F.col("churn_month")
-        )
-        monthly = rows.groupBy("customer_id", F.col(column).alias("month")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        counts = monthly.join(gone, "customer_id").filter(late).agg(F.sum("n").alias("n"))
-        rule = ">= churn month" if table in BEFORE_CHURN else "> churn month"
-        reports.append(_report(counts, f"post churn {table}", F.col("n"), F.lit(rule)))
-    return union_tables(reports)
+        names.append(f"post churn {table}")
+        parts.append(rows.select(
+            F.lit(names[-1]).alias("check_name"), "customer_id", F.col(column).alias("month")
+        ))
+    months = union_tables(parts).groupBy("check_name", "customer_id", "month").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    before = F.col("check_name").isin(*[f"post churn {table}" for table in BEFORE_CHURN])
+    late = (F.col("month") > F.col("churn_month")) | (
+        before & (F.col("month") == F.col("churn_month"))
+    )
+    found = months.join(gone, "customer_id").filter(late).select("check_name", "n")
+    totals = _per_check(found, names, "n")
+    rule = F.when(before, ">= churn month").otherwise("> churn month")
+    return _report(totals, F.col("check_name"), F.col("n"), rule)
 
 
 def dq_date_monotonic(bank) -> DataFrame:

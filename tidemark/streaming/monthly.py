@@ -76,7 +76,7 @@ def merchant_rollup(stream: DataFrame, delay: str = "800 days") -> DataFrame:
     amount = F.col("amount")
     zero = F.lit(0).cast("decimal(18,2)")
     return (
-        stream.withColumn("month_start", F.date_trunc("month", "txn_timestamp"))
+        stream.withColumn("month_start", F.col("txn_month").cast("timestamp"))
         .withWatermark("month_start", delay)
         .groupBy("month_start", "customer_id", "merchant_name")
         .agg(
