@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann, minhash, mixing, quality, secret_scan, sentencepiece_codec, simhash,
+    ann, minhash, mixing, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
 )
 from tidemark.llm.common import crc_remainder, read
 from tidemark.session import scratch_path
@@ -24,6 +24,11 @@ def tokenizer_file() -> str:
     return os.environ.get("TIDEMARK_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder(F.col("doc_id"), 5) == 1
+    return pitman_yor.score(read(spark, sf_dir, "documents"), held_out, stored=True)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = quality.statistics(read(spark, sf_dir, "documents"))
     labels = read(spark, sf_dir, "labels")
@@ -87,6 +92,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pitman_yor": op1_pitman_yor,
     "op2_quality": op2_quality,
     "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
