@@ -1,10 +1,11 @@
 """Document fingerprints by one-permutation MinHash, in DataFrame functions only.
 
 Every five-word shingle is hashed once; the top bits of the hash choose one of K bins and the
-rest is its value there, of which a bin keeps the least. A bin that stays empty takes the value of
-the filled bin that comes first in a random order of the bins of its own (optimal densification):
-the order is drawn from the pair of bins, so equal sets fill alike and borrowings of different
-bins are independent. Stored are the low B bits of each bin, as hex. Two fingerprints agree in a
+rest is its value there, of which a bin keeps the least. A bin that stays empty probes bins drawn
+by a hash of its number and the attempt and takes the value of the first that is filled (optimal
+densification: equal sets fill alike, and bins borrow independently). After a few attempts the
+rest take the first filled bin in a random order of their own, which is the same draw without
+repeats. Stored are the low B bits of each bin, as hex. Two fingerprints agree in a
 bin by chance with probability 2**-B; the likeness estimate takes that out.
 """
 
@@ -19,6 +20,7 @@ WORDS = 5
 BIN_BITS = 7
 BINS = 1 << BIN_BITS
 LOW_BITS = 8
+ATTEMPTS = 4
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -37,7 +39,7 @@ def _filled_bins(text: Column) -> list[tuple[str, Column]]:
             lambda i: F.xxhash64(*[F.get(F.col("mh_words"), i + k) for k in range(WORDS)]),
         )
     )
-    ordered = F.array_sort("mh_shingles")
+    ordered = F.sort_array("mh_shingles")
     first = F.filter(
         F.col("mh_ordered"),
         lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(F.col("mh_ordered"), i - 1))),
@@ -53,19 +55,33 @@ def _bin(h: Column) -> Column:
     return F.shiftright(h, 64 - BIN_BITS) + BINS // 2
 
 
-def _all_bins() -> Column:
-    """The value of every bin: its own, or that of the first filled bin in its order."""
-    filled = F.col("mh_filled")
+def _own_bins() -> Column:
+    """The value of every bin, null where it is empty."""
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(BINS - 1)),
+        lambda j: F.get("mh_filled", F.array_position("mh_bins", j).cast("int") - 1),
+    )
+
+
+def _probed(values: str, attempt: int) -> Column:
+    """Empty bins take the value of the bin that their hash for this attempt names, if filled."""
+    return F.transform(values, lambda own, j: F.coalesce(own, F.get(
+        F.col("mh_own"), F.pmod(F.xxhash64(j, F.lit(attempt)), F.lit(BINS)).cast("int")
+    )))
 
-    def borrowed(j: Column) -> Column:
-        ranked = F.transform(filled, lambda h: F.struct(F.xxhash64(j, _bin(h)).alias("at"), h.alias("value")))
-        return F.array_min(ranked)["value"]
 
-    def value(j: Column) -> Column:
-        own = F.get(filled, F.array_position("mh_bins", j).cast("int") - 1)
-        return F.when(F.array_contains("mh_bins", j), own).otherwise(borrowed(j))
+def _borrowed(values: str) -> Column:
+    """What no attempt filled takes the filled bin that is first in a random order of its own."""
+
+    def first(j: Column) -> Column:
+        # The order is in the high bits, the place in the list of filled bins in the low ones.
+        ranked = F.transform(
+            F.col("mh_bins"),
+            lambda b, i: F.xxhash64(j, b).bitwiseAND(F.lit(-BINS)) + i,
+        )
+        return F.get("mh_filled", F.array_min(ranked).bitwiseAND(F.lit(BINS - 1)).cast("int"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value)
+    return F.transform(values, lambda own, j: F.when(own.isNotNull(), own).otherwise(first(j)))
 
 
 def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -78,7 +94,11 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
     for step, column in _filled_bins(F.coalesce(F.col(text_col), F.lit(""))):
         out = out.select(*out.columns, column.alias(step))
     out = out.select(*kept, "mh_filled", F.transform("mh_filled", _bin).alias("mh_bins"))
-    out = out.select(*kept, _all_bins().alias("mh_values"))
+    out = out.select(*kept, "mh_filled", "mh_bins", _own_bins().alias("mh_own"))
+    out = out.withColumn("mh_probe0", F.col("mh_own"))
+    for attempt in range(ATTEMPTS):
+        out = out.withColumn(f"mh_probe{attempt + 1}", _probed(f"mh_probe{attempt}", attempt))
+    out = out.select(*kept, _borrowed(f"mh_probe{ATTEMPTS}").alias("mh_values"))
     # One more bit above the low ones keeps leading zeros.
     low = F.transform(
         "mh_values",
