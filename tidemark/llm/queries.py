@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann, minhash, mixing, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
+    ann, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
 )
 from tidemark.llm.common import crc_remainder, read
 from tidemark.session import scratch_path
@@ -39,6 +39,20 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(read(spark, sf_dir, "documents"))
+
+
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files source/lang/doc_id."""
+    docs = read(spark, sf_dir, "documents")
+    files = docs.select(F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text")
+    found = licences.scan(files)
+    return found.select(
+        F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "*"
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secret_scan.BlobLedger(spark, scratch_path(spark, "blob-ledger"))
     docs = read(spark, sf_dir, "documents")
@@ -94,6 +108,8 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_quality": op2_quality,
+    "op3_paragraphs": op3_paragraphs,
+    "op4_licences": op4_licences,
     "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
