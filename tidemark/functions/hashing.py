@@ -1,7 +1,8 @@
-"""Seeded uniform numbers from integer arithmetic.
+"""Seeded uniform numbers from a strong hash of seed and key.
 
 The same key and seed give the same number in every run, on every executor and in every SQL
-engine, so sampling does not depend on row order or partitioning.
+engine, so sampling does not depend on row order or partitioning. Numbers of different seeds are
+independent.
 """
 
 from __future__ import annotations
@@ -9,20 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A Mersenne prime and two multipliers below 2**17, so products fit a bigint.
-MODULUS = 2_147_483_647
-FIRST_MULTIPLIER = 48_271
-SECOND_MULTIPLIER = 69_621
 UNIT = 1_000_000
+# Hex digits that fit a bigint.
+DIGITS = 15
 
 
 def uniform_millionths(key: Column, seed: int) -> Column:
-    """An integer in [0, 1_000_000) for each integer key."""
-    x = (F.pmod(key.cast("bigint"), F.lit(MODULUS)) * FIRST_MULTIPLIER + F.lit(seed)) % MODULUS
-    x = x.bitwiseXOR(F.shiftright(x, 13))
-    x = (x * SECOND_MULTIPLIER) % MODULUS
-    x = x.bitwiseXOR(F.shiftright(x, 15))
-    return (x % UNIT).cast("int")
+    """An integer in [0, 1_000_000) for each key."""
+    text = F.concat(F.lit(f"{seed}:"), key.cast("bigint").cast("string"))
+    digits = F.substring(F.md5(text.cast("binary")), 1, DIGITS)
+    return (F.conv(digits, 16, 10).cast("bigint") % UNIT).cast("int")
 
 
 def weighted_choice(key: Column, seed: int, weights: list[tuple[object, int]]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -75,9 +75,31 @@ def _login() -> Column:
     return F.col("channel").isin(*K.CARD_NOT_PRESENT_CHANNELS)
 
 
-def activity_table(txns: DataFrame) -> DataFrame:
-    """The monthly activity table: the rollup plus logins, sessions and days since last use."""
-    month = F.col("txn_month")
+def _with_active_months(txns: DataFrame, active: DataFrame) -> DataFrame:
+    """Transactions stacked with the months a customer is active, so that quiet months stay."""
+    facts = txns.select(
+        "customer_id", F.col("txn_month").alias("snapshot_month"), "txn_date", "direction",
+        "channel", "amount", "merchant_name",
+    )
+    months = active.select("customer_id", "snapshot_month", F.lit(True).alias("active"))
+    return facts.unionByName(months, allowMissingColumns=True)
+
+
+def _so_far(value: str) -> Column:
+    """The latest date up to and including the month, carried over quiet months."""
+    months = Window.partitionBy("customer_id").orderBy("snapshot_month").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return F.max(value).over(months)
+
+
+def activity_table(txns: DataFrame, active: DataFrame) -> DataFrame:
+    """The monthly activity table: the rollup plus logins, sessions and days since last use.
+
+    One row per customer and month of `active` (customer_id, snapshot_month), zeros included. The
+    last transaction and login are those of any month so far; days are the default only where
+    there has been none.
+    """
     kind = channel_class(F.col("channel"))
     debit = F.col("direction") == "Debit"
     spent, debits = F.sum(F.when(debit, F.col("amount"))), F.count_if(debit)
@@ -86,7 +108,7 @@ def activity_table(txns: DataFrame) -> DataFrame:
     def channel_count(name: str) -> Column:
         return F.count_if(F.col("channel") == name).cast("int")
 
-    grouped = txns.groupBy("customer_id", month.alias("snapshot_month")).agg(
+    grouped = _with_active_months(txns, active).groupBy("customer_id", "snapshot_month").agg(
         F.count_if(_login()).cast("int").alias("login_count"),
         channel_count("Mobile App").alias("mobile_app_sessions"),
         channel_count("Internet Banking").alias("internet_banking_sessions"),
@@ -102,40 +124,45 @@ def activity_table(txns: DataFrame) -> DataFrame:
         F.count_if(kind == "card_not_present").cast("int").alias("card_not_present_txn_count"),
         F.max("txn_date").alias("last_txn"),
         F.max(F.when(_login(), F.col("txn_date"))).alias("last_login"),
+        F.bool_or("active").alias("active"),
     )
     mean_debit = F.when(
         F.col("debit_txn_count") > 0,
         exact_mean(F.col("total_debit_amount"), F.col("debit_txn_count"), 2),
     ).otherwise(F.lit(0))
-    return grouped.select(
+    carried = grouped.withColumns({n: _so_far(n) for n in ("last_txn", "last_login")})
+    return carried.filter("active").select(
         "customer_id", "snapshot_month", "login_count", "mobile_app_sessions",
         "internet_banking_sessions", "atm_transactions", F.lit(0).alias("branch_visits"),
         "debit_txn_count", "credit_txn_count", "total_debit_amount", "total_credit_amount",
         money(mean_debit).alias("avg_transaction_value"),
         "unique_merchants", "cash_withdrawal_count", "card_present_txn_count",
         "card_not_present_txn_count",
-        F.date_diff(month_end, "last_txn").alias("days_since_last_txn"),
+        F.coalesce(F.date_diff(month_end, "last_txn"), F.lit(K.DEFAULT_DORMANT_DAYS))
+        .alias("days_since_last_txn"),
         F.coalesce(F.date_diff(month_end, "last_login"), F.lit(K.DEFAULT_LOGIN_DAYS))
         .alias("days_since_last_login"),
     )
 
 
-def digital_table(txns: DataFrame) -> DataFrame:
-    """Monthly digital engagement observed in the transaction channels."""
+def digital_table(txns: DataFrame, active: DataFrame) -> DataFrame:
+    """Monthly digital engagement observed in the transaction channels, quiet months included."""
     app = F.col("channel") == "Mobile App"
     responded = app & (F.col("direction") == "Credit")
 
     def zero(name: str) -> Column:
         return F.lit(0).alias(name)
 
-    grouped = txns.groupBy("customer_id", F.col("txn_month").alias("snapshot_month")).agg(
+    grouped = _with_active_months(txns, active).groupBy("customer_id", "snapshot_month").agg(
         (F.count_if(app) > 0).alias("mobile_app_active"),
         F.max(F.when(_login(), F.col("txn_date"))).alias("last_login_date"),
         F.count_if(app).cast("int").alias("campaigns_received"),
         F.count_if(responded).cast("int").alias("campaigns_responded"),
         F.count_if(F.col("channel") == "Internet Banking").cast("int").alias("web_sessions"),
+        F.bool_or("active").alias("active"),
     )
-    return grouped.select(
+    carried = grouped.withColumn("last_login_date", _so_far("last_login_date"))
+    return carried.filter("active").select(
         "customer_id", "snapshot_month", "mobile_app_active", "last_login_date",
         zero("push_notifications_sent"), zero("push_notifications_opened"),
         zero("email_campaigns_sent"), zero("email_clicks"),

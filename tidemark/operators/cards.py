@@ -24,7 +24,12 @@ def _carry(balance: Column, month: Column) -> Column:
 
 def card_revolve(card_months: DataFrame) -> DataFrame:
     """Balance carried by each credit card after each month."""
-    months = card_months.groupBy("card_id").agg(
+    # Rows that repeat a month are one month, so a bill is paid once and the array stays bounded.
+    single = card_months.groupBy("card_id", "snapshot_month").agg(
+        F.sum("spend").alias("spend"), F.min("capacity").alias("capacity"),
+        F.sum("txn_count").alias("txn_count"),
+    )
+    months = single.groupBy("card_id").agg(
         F.array_sort(
             F.collect_list(F.struct("snapshot_month", "spend", "capacity", "txn_count"))
         ).alias("months")
@@ -72,7 +77,9 @@ def card_snapshot(revolved: DataFrame, cards: DataFrame, activity: DataFrame) ->
 
     Utilization is measured after payment, so a card paid in full shows 0.
     """
-    held = cards.select("card_id", "customer_id", "card_type", "card_status", "credit_limit")
+    held = cards.select(
+        "card_id", "customer_id", "card_type", "card_status", "credit_limit", "issue_date"
+    )
     credit = revolved.join(held.filter(F.col("card_type") == "Credit"), "card_id")
     balance, limit = F.col("balance"), F.col("credit_limit").cast("double")
     credit_rows = _snapshot(
@@ -86,7 +93,9 @@ def card_snapshot(revolved: DataFrame, cards: DataFrame, activity: DataFrame) ->
     )
     debit = activity.select(
         "customer_id", "snapshot_month", "total_debit_amount", "debit_txn_count"
-    ).join(held.filter(F.col("card_type") == "Debit"), "customer_id")
+    ).join(held.filter(F.col("card_type") == "Debit"), "customer_id").filter(
+        F.col("snapshot_month") >= F.trunc("issue_date", "month")
+    )
     zero = F.lit(0)
     share = F.lit(str(K.DEBIT_CARD_SPEND_SHARE)).cast("decimal(2,1)")
     debit_rows = _snapshot(

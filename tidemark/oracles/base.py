@@ -41,19 +41,9 @@ def emi(p: str, rate: str, n: str) -> str:
     return f"round(CAST({p} AS DOUBLE) * {r} * {g} / ({g} - CAST(1.0 AS DOUBLE)), 2)"
 
 
-HASH_STEPS = (
-    "(({k}) % 2147483647 * 48271 + {seed}) % 2147483647",
-    "xor({x}, {x} >> 13)",
-    "({x} * 69621) % 2147483647",
-    "xor({x}, {x} >> 15)",
-)
-
-
 def uniform(key: str, seed: int) -> str:
-    x = "(" + HASH_STEPS[0].format(k=f"CAST({key} AS BIGINT)", seed=seed) + ")"
-    for step in HASH_STEPS[1:]:
-        x = "(" + step.format(x=x) + ")"
-    return f"({x} % 1000000)"
+    digits = f"substr(md5('{seed}:' || CAST(CAST({key} AS BIGINT) AS VARCHAR)), 1, 15)"
+    return f"(CAST('0x' || {digits} AS BIGINT) % 1000000)"
 
 
 PRODUCT_ARITHMETIC = {
@@ -219,8 +209,11 @@ CTES: dict[str, str] = {
         f"WHERE greatest(0, (customer_id * 7 + {5 * k}) % 30 - {k % 3}) < 24"
         for k, name in enumerate(K.PRODUCT_FLAGS[:9])
     ),
+    "active_month": """
+        SELECT customer_id, m AS snapshot_month FROM state CROSS JOIN months
+        WHERE churn_month IS NULL OR m <= churn_month""",
     "activity": f"""
-        SELECT customer_id, txn_month AS snapshot_month,
+        SELECT a.customer_id, a.snapshot_month,
           CAST(count(*) FILTER (WHERE channel IN ('UPI', 'Internet Banking', 'Mobile App'))
             AS INT) AS login_count,
           CAST(count(*) FILTER (WHERE direction = 'Debit') AS INT) AS debit_txn_count,
@@ -238,19 +231,26 @@ CTES: dict[str, str] = {
           CAST(count(*) FILTER (WHERE channel = 'POS') AS INT) AS card_present_txn_count,
           CAST(count(*) FILTER (WHERE channel IN ('UPI', 'Internet Banking', 'Mobile App'))
             AS INT) AS card_not_present_txn_count,
-          CAST(date_diff('day', max(txn_date), last_day(txn_month)) AS INT)
+          CAST(coalesce(date_diff('day', (SELECT max(p.txn_date) FROM txn p
+            WHERE p.customer_id = a.customer_id AND p.txn_month <= a.snapshot_month),
+            last_day(a.snapshot_month)), {K.DEFAULT_DORMANT_DAYS}) AS INT)
             AS days_since_last_txn
-        FROM txn GROUP BY customer_id, txn_month""",
+        FROM active_month a LEFT JOIN txn
+          ON txn.customer_id = a.customer_id AND txn.txn_month = a.snapshot_month
+        GROUP BY a.customer_id, a.snapshot_month""",
     "digital": """
-        SELECT customer_id, txn_month AS snapshot_month,
+        SELECT a.customer_id, a.snapshot_month,
           count(*) FILTER (WHERE channel = 'Mobile App') > 0 AS mobile_app_active,
-          max(txn_date) FILTER (WHERE channel IN ('UPI', 'Internet Banking', 'Mobile App'))
-            AS last_login_date,
+          (SELECT max(p.txn_date) FROM txn p WHERE p.customer_id = a.customer_id
+            AND p.txn_month <= a.snapshot_month
+            AND p.channel IN ('UPI', 'Internet Banking', 'Mobile App')) AS last_login_date,
           count(*) FILTER (WHERE channel = 'Mobile App') AS campaigns_received,
           count(*) FILTER (WHERE channel = 'Mobile App' AND direction = 'Credit')
             AS campaigns_responded,
           count(*) FILTER (WHERE channel = 'Internet Banking') AS web_sessions
-        FROM txn GROUP BY customer_id, txn_month""",
+        FROM active_month a LEFT JOIN txn
+          ON txn.customer_id = a.customer_id AND txn.txn_month = a.snapshot_month
+        GROUP BY a.customer_id, a.snapshot_month""",
     "pay": """
         SELECT loan_id, loan.customer_id, m, idx,
           EXISTS (SELECT 1 FROM txn WHERE txn.customer_id = loan.customer_id
@@ -281,16 +281,18 @@ CTES: dict[str, str] = {
           s.emi, s.r
         FROM loan_state s JOIN pay ON pay.loan_id = s.loan_id AND pay.idx = s.idx + 1""",
     "card_month": """
-        SELECT card_id, snapshot_month, spend, capacity, purchases,
-          row_number() OVER (PARTITION BY card_id ORDER BY snapshot_month) AS k
-        FROM (SELECT customer_id, txn_month AS snapshot_month,
-            CAST(coalesce(sum(amount) FILTER (WHERE channel = 'POS' AND direction = 'Debit'), 0)
-              AS DOUBLE) AS spend,
-            count(*) FILTER (WHERE channel = 'POS' AND direction = 'Debit') AS purchases,
-            CASE WHEN count(*) FILTER (WHERE direction = 'Credit') > 0 THEN 'full'
-                 WHEN count(*) % 2 = 0 THEN 'min' ELSE 'none' END AS capacity
-          FROM txn GROUP BY customer_id, txn_month) t
-        JOIN card ON card.customer_id = t.customer_id AND card.card_type = 'Credit'""",
+        SELECT card_id, a.snapshot_month,
+          CAST(coalesce(sum(amount) FILTER (WHERE channel = 'POS' AND direction = 'Debit'), 0)
+            AS DOUBLE) AS spend,
+          count(*) FILTER (WHERE channel = 'POS' AND direction = 'Debit') AS purchases,
+          CASE WHEN count(*) FILTER (WHERE direction = 'Credit') > 0 THEN 'full'
+               WHEN count(amount) > 0 AND count(amount) % 2 = 0 THEN 'min' ELSE 'none' END
+            AS capacity,
+          row_number() OVER (PARTITION BY card_id ORDER BY a.snapshot_month) AS k
+        FROM card JOIN active_month a ON card.customer_id = a.customer_id
+          AND card.card_type = 'Credit' AND a.snapshot_month >= date_trunc('month', issue_date)
+        LEFT JOIN txn ON txn.customer_id = a.customer_id AND txn.txn_month = a.snapshot_month
+        GROUP BY card_id, a.snapshot_month""",
     "card_bal": """
         SELECT DISTINCT card_id, CAST(0 AS BIGINT) AS k, CAST(0 AS DOUBLE) AS b,
           CAST(NULL AS DATE) AS snapshot_month, CAST(0 AS BIGINT) AS purchases
@@ -318,7 +320,8 @@ CTES: dict[str, str] = {
           CAST((CAST(total_debit_amount * 100 AS BIGINT) * 3 + 5) // 10 / 100.0
             AS DECIMAL(18,2)), a.debit_txn_count,
           CAST(0 AS DECIMAL(10,4)), CAST(0 AS DECIMAL(18,2)), false
-        FROM activity a JOIN card c ON c.customer_id = a.customer_id AND c.card_type = 'Debit'""",
+        FROM activity a JOIN card c ON c.customer_id = a.customer_id AND c.card_type = 'Debit'
+          AND a.snapshot_month >= date_trunc('month', c.issue_date)""",
     "loan_snap": """
         SELECT loan_id, customer_id, m AS snapshot_month,
           CAST(round(o, 2) AS DECIMAL(18,2)) AS outstanding_balance,
@@ -364,14 +367,17 @@ CTES: dict[str, str] = {
 
 
 def oracle(sql: str) -> str:
-    """Prefix a query with the table expressions it names, in definition order."""
-    needed: set[str] = set()
+    """Prefix a query with the table expressions it names, each after those it needs itself."""
+    seen: set[str] = set()
+    needed: list[str] = []
 
-    def visit(text: str) -> None:
-        for name in set(re.findall(r"[a-z_]+", text)) & CTES.keys() - needed:
-            needed.add(name)
-            visit(CTES[name])
+    def visit(names: set[str]) -> None:
+        for name in sorted(names & CTES.keys()):
+            if name not in seen:
+                seen.add(name)
+                visit(set(re.findall(r"(?:FROM|JOIN)\s+([a-z_]+)", CTES[name])))
+                needed.append(name)
 
-    visit(sql)
-    ctes = [f"{name} AS ({body})" for name, body in CTES.items() if name in needed]
+    visit(set(re.findall(r"[a-z_]+", sql)))
+    ctes = [f"{name} AS ({CTES[name]})" for name in needed]
     return f"WITH RECURSIVE {', '.join(ctes)} {sql}" if ctes else sql

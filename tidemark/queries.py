@@ -138,7 +138,7 @@ def month_calendar(bank):
 
 
 def days_in_month(bank):
-    return bank.transaction_fact.groupBy("txn_month").agg(
+    return bank.txns.groupBy("txn_month").agg(
         F.count(F.lit(1)).alias("txns")
     ).select("txn_month", C.days_in_month(F.col("txn_month")).alias("days"), "txns")
 
@@ -351,7 +351,7 @@ def anti_join_orphans(bank):
 
 
 def semi_join_eligible(bank):
-    filed = bank.customer_complaints.select("customer_id")
+    filed = bank.customer_complaints.select("customer_id").distinct()
     return bank.customer_churn_label.join(filed, "customer_id", "left_semi").select(*LABEL_KEY)
 
 

@@ -371,26 +371,42 @@ class StarBank(Bank):
             "loan_id", "snapshot_month", flag(F.col("seen")).alias("paid")
         )
 
+    def _active_months(self) -> DataFrame:
+        """Months in which a customer is with the bank: up to and including the churn month."""
+        month = F.col("snapshot_month")
+        return self.churn_simulation_state.select(
+            "customer_id", "churn_month",
+            F.explode(C.month_sequence(self.first_month, self.n_months)).alias("snapshot_month"),
+        ).filter(F.col("churn_month").isNull() | (month <= F.col("churn_month"))).drop("churn_month")
+
     def _card_months(self) -> DataFrame:
-        """Monthly card spend and how much of the bill the holder can pay."""
+        """Spend and how much of the bill the holder can pay, for every month a card is held.
+
+        A month without any transaction pays nothing.
+        """
         spend = F.sum(
             F.when((F.col("channel") == "POS") & (F.col("direction") == "Debit"), F.col("amount"))
         )
-        months = self.txns.groupBy(
-            "customer_id", F.col("txn_month").alias("snapshot_month")
-        ).agg(
+        facts = self.txns.select(
+            "customer_id", F.col("txn_month").alias("snapshot_month"), "channel", "direction",
+            "amount",
+        ).unionByName(self.active_months.withColumn("active", F.lit(True)), allowMissingColumns=True)
+        months = facts.groupBy("customer_id", "snapshot_month").agg(
             F.coalesce(spend, F.lit(0)).cast("double").alias("spend"),
             F.count_if(F.col("direction") == "Credit").alias("credits"),
-            F.count(F.lit(1)).alias("n"),
+            F.count("amount").alias("n"), F.bool_or("active").alias("active"),
             F.count_if((F.col("channel") == "POS") & (F.col("direction") == "Debit"))
             .alias("purchases"),
         )
         capacity = (
-            F.when(F.col("credits") > 0, "full").when(F.col("n") % 2 == 0, "min")
+            F.when(F.col("credits") > 0, "full")
+            .when((F.col("n") > 0) & (F.col("n") % 2 == 0), "min")
             .otherwise("none")
         )
         credit = self.card_portfolio.filter(F.col("card_type") == "Credit")
-        return months.join(credit.select("card_id", "customer_id"), "customer_id").select(
+        held = credit.select("card_id", "customer_id", "issue_date")
+        rows = months.filter("active").join(held, "customer_id")
+        return rows.filter(F.col("snapshot_month") >= F.trunc("issue_date", "month")).select(
             "card_id", "snapshot_month", "spend", capacity.alias("capacity"),
             F.col("purchases").alias("txn_count"),
         )
@@ -429,10 +445,10 @@ class StarBank(Bank):
         return rows.withColumn("products_count", aggregates.products_count())
 
     def _customer_monthly_activity(self) -> DataFrame:
-        return aggregates.activity_table(self.txns)
+        return aggregates.activity_table(self.txns, self.active_months)
 
     def _digital_engagement_monthly(self) -> DataFrame:
-        return aggregates.digital_table(self.txns)
+        return aggregates.digital_table(self.txns, self.active_months)
 
     def _account_monthly_snapshot(self) -> DataFrame:
         return ledger.account_snapshot(
