@@ -37,10 +37,36 @@ def test_month_bounds_prune_folders(spark, bank, tmp_path):
     assert {r[0] for r in rows(part.select("feedback_month").distinct())} == {month(2), month(3)}
 
 
-def test_empty_tables_are_not_written(bank, tmp_path):
-    empty = bank.branch_master.limit(0)
-    assert not parquet_io.write_master(empty, str(tmp_path), "branch_master")
-    assert not list(tmp_path.iterdir())
+def test_empty_tables_replace_what_was_there(spark, bank, tmp_path):
+    root = str(tmp_path)
+    names = ("branch_master", "loan_master", "customer_feedback")
+    assert parquet_io.write_bank(bank, root, names) == list(names)
+    emptied = bank.replace(**{n: bank.table(n).limit(0) for n in names[1:]})
+    assert parquet_io.write_bank(emptied, root, names) == ["branch_master"]
+    stored = ParquetBank(spark, root)
+    for name in names[1:]:
+        assert stored.table(name).count() == 0
+        assert stored.table(name).columns == parquet_io.read_table(spark, root, name).columns
+
+
+def test_merge_writes_months_and_refuses_copies_that_differ(spark, bank, tmp_path):
+    names = ("branch_master", "customer_feedback")
+    roots = []
+    for k in range(2):
+        chunk = bank.replace(customer_feedback=bank.customer_feedback.filter(
+            F.col("customer_id") % 2 == k))
+        roots.append(str(tmp_path / f"part{k}"))
+        parquet_io.write_bank(chunk, roots[-1], names)
+    whole = str(tmp_path / "whole")
+    assert parquet_io.write_merged(spark, roots, whole, names) == list(names)
+    stored = ParquetBank(spark, whole)
+    assert stored.branch_master.count() == bank.branch_master.count()
+    assert stored.customer_feedback.count() == bank.customer_feedback.count()
+    assert any("=" in p.name for p in (tmp_path / "whole" / "customer_feedback").iterdir())
+    other = bank.replace(branch_master=bank.branch_master.withColumn("city", F.lit("elsewhere")))
+    parquet_io.write_bank(other, roots[1], names[:1])
+    with pytest.raises(Exception, match="differ"):
+        parquet_io.merge_chunk_outputs(spark, roots, "branch_master", "branch_code").collect()
 
 
 def test_chunks_merge_to_the_whole(spark, bank, tmp_path):

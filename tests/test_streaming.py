@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -38,11 +39,19 @@ def test_activity_stream_equals_batch(spark, bank, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
     for start, end in HALVES:
         arrive(bank, source, start, end)
-        got = monthly.stream_activity_rollup(stream(spark, bank, source), root)
+        got = monthly.stream_activity_rollup(stream(spark, bank, source), root, "800 days")
     expected = activity_rollup(bank.txns).select(*got.columns)
     assert Q.sets.table_difference(got, expected).isEmpty()
 
 
+def test_rows_beyond_the_delay_are_reported(spark, bank, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    with pytest.raises(ValueError, match="late"):
+        for start, end in reversed(HALVES):
+            arrive(bank, source, start, end)
+            monthly.stream_activity_rollup(stream(spark, bank, source), root, "31 days")
+
+
 def test_balances_carry_over_batches(spark, bank, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
     for start, end in HALVES:

@@ -19,28 +19,18 @@ def signed_amount():
 
 
 def running_balance(
-    txns: DataFrame,
-    openings: DataFrame,
-    row_bound: int | None = None,
-    task_rows: int = TASK_ROWS,
+    txns: DataFrame, openings: DataFrame, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """Add balance_after_txn: opening balance plus signed amounts in (timestamp, id) order.
 
-    Ordinary accounts need one shuffle on account_id, shared by the join and the window.
+    Ordinary accounts need one shuffle on account_id, shared by the join and the window. Hot
+    accounts are cut into slices and their opening balance is added to the offset of each slice.
     """
-    parts = running_sums(
+    summed = running_sums(
         txns, "account_id", ["txn_timestamp", "transaction_id"], {"moved": signed_amount()},
-        row_bound, task_rows,
+        openings.select("account_id", F.col("opening_balance").alias("moved")), task_rows,
     )
-    opened = [
-        part.join(openings.select("account_id", "opening_balance"), "account_id", "left")
-        for part in parts
-    ]
-    balance = money(F.coalesce(F.col("opening_balance"), F.lit(0)) + F.col("moved"))
-    out = [
-        part.select(*txns.columns, balance.alias("balance_after_txn")) for part in opened
-    ]
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    return summed.select(*txns.columns, money(F.col("moved")).alias("balance_after_txn"))
 
 
 def account_month_rollup(ledger: DataFrame) -> DataFrame:

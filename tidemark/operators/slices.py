@@ -11,39 +11,55 @@ from tidemark.session import reliable
 TASK_ROWS = 5_000_000
 
 
-def ordered_slices(df: DataFrame, order: list[str]) -> DataFrame:
+def ordered_slices(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
     """Range-partition rows on `order` and tag each with its slice number.
 
     A slice lies wholly before the next one in `order`, and a hot key is cut over as many slices
-    as its share of the rows. Range bounds come from a sample, so the tagged rows are written to
-    the shared folder once: every later reader then sees the same slices.
+    as its share of the rows; their number follows from the rows. Range bounds come from a sample,
+    so the tagged rows are written to the shared folder once: every later reader then sees the
+    same slices.
     """
-    ranged = df.repartitionByRange(*order).withColumn("slice_id", F.spark_partition_id())
+    fewest = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(fewest, -(-df.count() // task_rows))
+    ranged = df.repartitionByRange(slices, *order).withColumn("slice_id", F.spark_partition_id())
     return reliable(ranged)
 
 
-def _slice_offsets(sliced: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Sum of everything of the same key in earlier slices; one row per (key, slice)."""
+def _slice_offsets(
+    sliced: DataFrame, keys: list[str], sums: dict[str, Column], start: DataFrame | None
+) -> DataFrame:
+    """Sum of everything of the same key in earlier slices; one row per (key, slice).
+
+    `start` (keys, one column per sum) is what a key has before its first row.
+    """
     totals = sliced.groupBy(*keys, "slice_id").agg(
         *[F.sum(value).alias(name) for name, value in sums.items()]
     )
+    begin = dict.fromkeys(sums, F.lit(0))
+    if start is not None:
+        totals = totals.join(
+            start.select(*keys, *[F.col(n).alias(f"{n}__start") for n in sums]), keys, "left"
+        )
+        begin = {n: F.coalesce(F.col(f"{n}__start"), F.lit(0)) for n in sums}
     before = (
         Window.partitionBy(*keys).orderBy("slice_id").rowsBetween(Window.unboundedPreceding, -1)
     )
     return totals.select(
         *keys, "slice_id",
         *[
-            F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"{name}__before")
+            (F.coalesce(F.sum(name).over(before), F.lit(0)) + begin[name])
+            .alias(f"{name}__before")
             for name in sums
         ],
     )
 
 
 def sliced_running_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column]
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column],
+    start: DataFrame | None = None, task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Running sums per key in `order`, computed slice by slice plus an offset per slice."""
-    sliced = ordered_slices(df, [*keys, *order])
+    sliced = ordered_slices(df, [*keys, *order], task_rows)
     within = (
         Window.partitionBy(*keys, "slice_id")
         .orderBy(*order)
@@ -52,49 +68,46 @@ def sliced_running_sums(
     local = sliced.select(*sliced.columns, *[
         F.sum(value).over(within).alias(f"{name}__local") for name, value in sums.items()
     ])
-    joined = local.join(_slice_offsets(sliced, keys, sums), [*keys, "slice_id"])
+    joined = local.join(_slice_offsets(sliced, keys, sums, start), [*keys, "slice_id"])
     return joined.select(*df.columns, *[
         (F.col(f"{name}__before") + F.col(f"{name}__local")).alias(name) for name in sums
     ])
 
 
-def hot_keys(df: DataFrame, key: str, task_rows: int) -> list:
-    """Keys with more rows than one task may order; at most rows / task_rows of them."""
-    counts = df.groupBy(key).count().filter(F.col("count") > task_rows)
-    return [row[0] for row in counts.select(key).collect()]
-
-
 def running_sums(
     df: DataFrame,
     key: str,
     order: list[str],
     sums: dict[str, Column],
-    row_bound: int | None = None,
+    start: DataFrame | None = None,
     task_rows: int = TASK_ROWS,
-) -> list[DataFrame]:
-    """Running sums per key, as one frame for ordinary keys and one for hot keys if there are any.
+) -> DataFrame:
+    """Running sums per key in `order`, on top of what `start` has for the key.
 
-    `row_bound` is a proven upper bound on the rows of df. While it fits one task no key can be
-    hot and nothing needs counting; beyond it keys are counted first, hot ones take the sliced
-    path and the rest keep the plain window with its single shuffle.
+    Keys with more rows than one task may order are found by a count and sliced; the others need
+    one shuffle on the key, shared by the join with `start` and the window. Both ways are always
+    in the plan. There are at most rows / task_rows hot keys, so their table may be broadcast.
     """
-    hot = []
-    if row_bound is None or row_bound > task_rows:
-        hot = hot_keys(df, key, task_rows)
+    hot = reliable(
+        df.groupBy(key).count().filter(F.col("count") > task_rows).select(F.col(key).alias("hot"))
+    )
+    is_hot = F.col(key) == F.col("hot")
     window = (
         Window.partitionBy(key)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = [F.sum(value).over(window).alias(name) for name, value in sums.items()]
-    if not hot:
-        return [df.select(*df.columns, *running)]
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = df.filter(~is_hot)
-    return [
-        cold.select(*df.columns, *running),
-        sliced_running_sums(df.filter(is_hot), [key], order, sums),
-    ]
+    cold = df.join(F.broadcast(hot), is_hot, "left_anti").select(*df.columns, *[
+        F.sum(value).over(window).alias(name) for name, value in sums.items()
+    ])
+    if start is not None:
+        opened = start.select(key, *[F.col(n).alias(f"{n}__start") for n in sums])
+        cold = cold.join(opened, key, "left").select(*df.columns, *[
+            (F.col(n) + F.coalesce(F.col(f"{n}__start"), F.lit(0))).alias(n) for n in sums
+        ])
+    busy = df.join(F.broadcast(hot), is_hot, "left_semi")
+    sliced = sliced_running_sums(busy, [key], order, sums, start, task_rows)
+    return cold.unionByName(sliced)
 
 
 def dense_ranks(df: DataFrame, order: list[str], name: str, start: int) -> DataFrame:

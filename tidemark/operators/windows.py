@@ -110,13 +110,19 @@ def product_drop(holdings: DataFrame) -> DataFrame:
 
 def complaints_trailing(calendar: DataFrame, complaints: DataFrame) -> DataFrame:
     """Complaints of the month and the six before it (seven months, both ends included)."""
-    monthly = complaints.groupBy(
-        "customer_id", F.col("complaint_month").alias("snapshot_month")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    rows = calendar.join(monthly, ["customer_id", "snapshot_month"], "left")
-    trailing = F.sum(F.coalesce("n", F.lit(0))).over(by_month_index().rangeBetween(-6, 0))
-    return rows.select(
-        "customer_id", "snapshot_month", trailing.cast("bigint").alias("complaints_trailing")
+    monthly = stack_measures(
+        [
+            complaints.select("customer_id", F.col("complaint_month").alias("snapshot_month"),
+                              F.lit(1).alias("n")),
+            calendar.select("customer_id", "snapshot_month", F.lit(True).alias("wanted")),
+        ],
+        ["customer_id", "snapshot_month"],
+        {"n": F.coalesce(F.sum("n"), F.lit(0)), "wanted": F.bool_or("wanted")},
+    ).withColumn("month_idx", month_index(F.col("snapshot_month")))
+    trailing = F.sum("n").over(by_month_index().rangeBetween(-6, 0)).cast("bigint")
+    # The calendar is applied after the window: complaints before it count.
+    return monthly.withColumn("complaints_trailing", trailing).filter("wanted").select(
+        "customer_id", "snapshot_month", "complaints_trailing"
     )
 
 

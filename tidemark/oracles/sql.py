@@ -13,6 +13,8 @@ from tidemark.oracles.base import (
 from tidemark.sources.schemas import COMPOSITE_KEYS, FOREIGN_KEYS, SINGLE_KEYS
 
 SQL: dict[str, str] = {}
+# Activity months that have a transaction.
+BUSY = "debit_txn_count + credit_txn_count > 0"
 
 # -- scans and sinks -----------------------------------------------------------------------
 SQL |= {
@@ -181,7 +183,7 @@ SQL |= {
     "customer_month_balance": f"SELECT customer_id, snapshot_month, round(avg_bal, 4) AS avg_bal FROM ({BALANCE})",
     "customer_month_emi": EMI,
     "customer_month_utilization": UTIL,
-    "activity_rollup": f"SELECT {ACTIVITY_COLUMNS} FROM activity",
+    "activity_rollup": f"SELECT {ACTIVITY_COLUMNS} FROM activity WHERE {BUSY}",
     "fee_and_salary_sums": """SELECT account_id, txn_month AS snapshot_month,
         CAST(coalesce(sum(amount) FILTER (WHERE is_fee), 0) AS DECIMAL(18,2))
           AS fee_charged_amount,
@@ -419,6 +421,7 @@ SQL |= {
 }
 
 # -- churn ---------------------------------------------------------------------------------
+FIRED = FLAGS.replace("FROM event", f"FROM ({SQL['conditional_event_gate']})")
 SIGNALS = f"""
     SELECT c.customer_id, months.m AS snapshot_month, c.persona,
       ln(((base_min + base_max) / 2.0::DOUBLE)
@@ -439,9 +442,10 @@ SIGNALS = f"""
       coalesce(f.job, false) AS recent_salary_job_change, h.products_count_drop,
       coalesce(f.failure, false) AS recent_service_failure
     FROM cust c CROSS JOIN months
+    JOIN active_month alive ON alive.customer_id = c.customer_id AND alive.snapshot_month = months.m
     JOIN (VALUES {persona_values(0, 2, 3)}) p(persona, base_min, base_max)
       ON p.persona = c.persona
-    LEFT JOIN ({FLAGS}) f ON f.customer_id = c.customer_id AND f.event_month = months.m
+    LEFT JOIN ({FIRED}) f ON f.customer_id = c.customer_id AND f.event_month = months.m
     JOIN ({DROP}) h ON h.customer_id = c.customer_id AND h.snapshot_month = months.m
     JOIN ({TRAILING}) t ON t.customer_id = c.customer_id AND t.snapshot_month = months.m
     JOIN (SELECT c.customer_id, months.m, count(r.complaint_id) AS n
@@ -489,9 +493,11 @@ DECIDED = f"""
     FROM ({SCORED}) d JOIN (VALUES {persona_values(0, 1)}) p(persona, threshold)
       USING (persona)"""
 FIRST_CHURN = f"""SELECT customer_id, min(snapshot_month) FILTER (WHERE drawn) AS churn_month,
-    arg_min(coalesce(hard_reason, soft_reason), snapshot_month) FILTER (WHERE drawn) AS reason
+    arg_min(coalesce(hard_reason, soft_reason), snapshot_month) FILTER (WHERE drawn) AS reason,
+    max(snapshot_month) AS last_month
     FROM ({DECIDED}) GROUP BY customer_id"""
-ACTIVE = "CAST(coalesce(date_diff('month', DATE '2024-01-01', f.churn_month) + 1, 24) AS INT)"
+ACTIVE = """CAST(date_diff('month', DATE '2024-01-01', coalesce(f.churn_month, f.last_month)) + 1
+    AS INT)"""
 SCORES = ("base_rate", "event_score", "trend_score", "product_score", "complaint_score",
           "loan_stress_score", "digital_inactivity_score")
 SQL |= {
@@ -798,13 +804,13 @@ SQL |= {
         f"('{c}', CAST(0 AS BIGINT))"
         for c in ("unmatched_rows", *FEATURE_SQL, "churned", "churn_date", "churn_reason")
     ) + ") t(column_name, mismatches)",
-    "stream_month_sink": """SELECT customer_id, snapshot_month, debit_txn_count,
+    "stream_month_sink": f"""SELECT customer_id, snapshot_month, debit_txn_count,
         credit_txn_count, total_debit_amount, total_credit_amount, unique_merchants
-        FROM activity""",
-    "stream_activity_rollup": """SELECT customer_id, snapshot_month, debit_txn_count,
+        FROM activity WHERE {BUSY}""",
+    "stream_activity_rollup": f"""SELECT customer_id, snapshot_month, debit_txn_count,
         credit_txn_count, total_debit_amount, total_credit_amount, unique_merchants,
         cash_withdrawal_count, card_present_txn_count, card_not_present_txn_count
-        FROM activity""",
+        FROM activity WHERE {BUSY}""",
     "stream_running_balance": """SELECT transaction_id, account_id, balance_after_txn,
         false AS out_of_order FROM ledger""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -13,7 +13,7 @@ from tidemark.functions.scores import logit, sigmoid
 from tidemark.operators.ledger import primary_account
 from tidemark.operators.panel import stack_measures
 from tidemark.operators.windows import by_month_index, history, leaky_counter, streak
-from tidemark.plans.behaviour import has_event, resolution_months
+from tidemark.plans.behaviour import conditional_event_gate, has_event, resolution_months
 from tidemark.session import inline_table
 
 
@@ -30,21 +30,30 @@ def _monthly(df: DataFrame, month: str, **columns) -> DataFrame:
 
 
 def churn_signals(bank) -> DataFrame:
-    """Score components and trigger inputs for every customer and month.
+    """Score components and trigger inputs for every customer and month up to the churn month.
 
     All facts are stacked onto a customer calendar and aggregated once; streaks, trailing counts,
-    lags and counters are frames of one window over that panel.
+    lags and counters are frames of one window over that panel. Months outside the calendar are
+    cut after the window, so complaints filed before it still count. Conditional events count only
+    where their condition holds.
     """
     state = bank.churn_simulation_state
     salaried = primary_account(bank.account_master).select("customer_id", "salary_account_flag")
     calendar = state.join(salaried, "customer_id", "left").select(
         "customer_id", "persona", "salary_account_flag",
+        "churn_month",
         F.explode(month_sequence(bank.first_month, bank.n_months)).alias("snapshot_month"),
+    ).filter(
+        F.col("churn_month").isNull() | (F.col("snapshot_month") <= F.col("churn_month"))
     )
     accounts = bank.account_monthly_snapshot.join(
         bank.account_master.select("account_id", "customer_id"), "account_id"
     )
-    events = bank.hidden_events.groupBy("customer_id", "event_month").agg(
+    fired = conditional_event_gate(
+        bank.hidden_events, bank.card_portfolio, bank.loan_states, bank.customer_complaints,
+        bank.digital_engagement_monthly, state,
+    )
+    events = fired.groupBy("customer_id", "event_month").agg(
         F.count(F.lit(1)).alias("events"),
         *[has_event(e).alias(e) for e in (
             "salary_job_change", "salary_delay", "home_purchase", "large_life_expense",
@@ -92,7 +101,8 @@ def churn_signals(bank) -> DataFrame:
         "filed": total("filed"),
         "closed": total("closed"),
         "dpd": F.coalesce(F.max("dpd"), F.lit(0)),
-    }).filter(F.col("persona_number").isNotNull())
+    })
+    inside = F.col("persona_number").isNotNull()
     panel = panel.withColumns({
         "month_idx": month_index(F.col("snapshot_month")),
         "persona": F.element_at(names, F.col("persona_number")),
@@ -100,14 +110,15 @@ def churn_signals(bank) -> DataFrame:
     order = by_month_index()
     framed = panel.select(
         "*",
-        F.lag("products").over(order).alias("products_before"),
+        F.lag(F.when(inside, F.col("products"))).over(order).alias("products_before"),
         F.sum("filed").over(order.rangeBetween(-6, 0)).alias("complaint_count_6m"),
         F.sum(F.col("filed") - F.col("closed"))
-        .over(order.rowsBetween(-bank.n_months, 0)).alias("unresolved_complaints"),
-        streak(F.col("salary") | ~F.col("salary_account")).alias("months_without_salary"),
-        streak(F.col("used")).alias("digital_inactive_months"),
-        history(F.col("failure")).alias("failures"),
-    )
+        .over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("unresolved_complaints"),
+        streak(F.col("salary") | ~F.col("salary_account") | ~inside)
+        .alias("months_without_salary"),
+        streak(F.col("used") | ~inside).alias("digital_inactive_months"),
+        history(F.col("failure") & inside).alias("failures"),
+    ).filter(inside)
     excluded = (F.col("job_change") & F.col("delay")).cast("int") + (
         F.col("home") & F.col("expense")
     ).cast("int")

@@ -875,15 +875,19 @@ def parity_columns(bank):
 
 
 def txn_stream(bank, name: str):
-    """The transactions as files arriving quarter by quarter, read back as a stream."""
+    """The transactions as files arriving quarter by quarter, read back as a stream.
+
+    Quarters follow the window of the bank; what lies before or after it comes with its ends.
+    """
     root = scratch_path(bank.spark, name)
     columns = ["transaction_id", "account_id", "customer_id", "txn_timestamp", "txn_month",
                "direction", "channel", "merchant_name", "amount"]
     rows = written(bank).txns.select(*columns)
-    for quarter in range(8):
-        start = dt.date(2024 + quarter // 4, 3 * (quarter % 4) + 1, 1)
-        end = dt.date(2024 + (quarter + 1) // 4, 3 * ((quarter + 1) % 4) + 1, 1)
-        inside = (F.col("txn_month") >= F.lit(start)) & (F.col("txn_month") < F.lit(end))
+    quarters = -(-bank.n_months // 3)
+    at = C.month_index(F.col("txn_month")) - C.month_index(F.lit(bank.first_month))
+    quarter_of = F.least(F.lit(quarters - 1), F.greatest(F.lit(0), F.floor(at / 3)))
+    for quarter in range(quarters):
+        inside = F.coalesce(quarter_of, F.lit(0)) == quarter
         part = rows.filter(inside).repartition("account_id")
         part.write.mode("append").parquet(f"{root}/arriving")
     return stream_monthly.read_txn_stream(bank.spark, f"{root}/arriving", rows.schema, 16), root
@@ -900,7 +904,8 @@ def stream_month_sink(bank):
 
 def stream_activity_rollup(bank):
     stream, root = txn_stream(bank, "stream-activity")
-    return stream_monthly.stream_activity_rollup(stream, root)
+    # No month of the window is ever too late.
+    return stream_monthly.stream_activity_rollup(stream, root, f"{31 * (bank.n_months + 1)} days")
 
 
 def stream_running_balance(bank):

@@ -46,7 +46,6 @@ class StarBank(Bank):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark)
         self._root = root
-        self._row_bound: int | None = None
 
     def build(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
@@ -54,13 +53,6 @@ class StarBank(Bank):
     def _raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._root}/{name}.parquet")
 
-    @property
-    def txn_row_bound(self) -> int:
-        """Number of stored transactions; counting Parquet rows reads file footers only."""
-        if self._row_bound is None:
-            self._row_bound = self.txns.count()
-        return self._row_bound
-
     # -- masters ---------------------------------------------------------------------------
 
     def _customers(self) -> DataFrame:
@@ -310,7 +302,7 @@ class StarBank(Bank):
 
     def _transaction_fact(self) -> DataFrame:
         return ledger.running_balance(
-            self.txns.drop("order_key", "line"), self.account_openings, self.txn_row_bound
+            self.txns.drop("order_key", "line"), self.account_openings
         )
 
     def _urgent_and_low_orders(self) -> DataFrame:

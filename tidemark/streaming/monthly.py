@@ -20,8 +20,11 @@ def read_txn_stream(
     )
 
 
-def run_available(stream: DataFrame, checkpoint: str, write_batch, mode: str = "append") -> None:
-    """Process everything that has arrived, one foreachBatch call per micro-batch, then stop."""
+def run_available(stream: DataFrame, checkpoint: str, write_batch, mode: str = "append") -> int:
+    """Process everything that has arrived, one foreachBatch call per micro-batch, then stop.
+
+    Returns the rows that came later than the watermark allows.
+    """
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -30,6 +33,10 @@ def run_available(stream: DataFrame, checkpoint: str, write_batch, mode: str = "
         .start()
     )
     query.awaitTermination()
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for state in progress["stateOperators"]
+    )
 
 
 def stream_month_sink(stream: DataFrame, root: str, rollup=activity_rollup) -> None:
@@ -64,12 +71,12 @@ def stream_month_sink(stream: DataFrame, root: str, rollup=activity_rollup) -> N
     run_available(stream, f"{root}/checkpoint", write_batch)
 
 
-def merchant_rollup(stream: DataFrame, delay: str = "800 days") -> DataFrame:
+def merchant_rollup(stream: DataFrame, delay: str) -> DataFrame:
     """Running totals per customer, month and merchant.
 
     Keeping the merchant in the key makes distinct merchants a row count downstream, so no state
     entry ever holds a set, and a busy customer spreads over merchants. The watermark follows the
-    month; state of months older than the delay is dropped and later rows for them are ignored.
+    month; state of months older than `delay` is dropped and later rows for them don't count.
     """
     debit = F.col("direction") == "Debit"
     kind = channel_class(F.col("channel"))
@@ -91,16 +98,21 @@ def merchant_rollup(stream: DataFrame, delay: str = "800 days") -> DataFrame:
     )
 
 
-def stream_activity_rollup(stream: DataFrame, root: str) -> DataFrame:
+def stream_activity_rollup(stream: DataFrame, root: str, delay: str) -> DataFrame:
     """Monthly activity maintained by a stateful stream; returns the table as of now.
 
     Update mode emits a key again whenever it changes. Each micro-batch is stored under its own
-    number and the reader keeps the newest version of every key.
+    number and the reader keeps the newest version of every key. Rows later than `delay` allows
+    stop the run with an error instead of vanishing.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/versions/batch_id={batch_id}")
 
-    run_available(merchant_rollup(stream), f"{root}/checkpoint", write_batch, "update")
+    late = run_available(
+        merchant_rollup(stream, delay), f"{root}/checkpoint", write_batch, "update"
+    )
+    if late:
+        raise ValueError(f"{late} groups of rows came more than {delay} late")
     versions = stream.sparkSession.read.parquet(f"{root}/versions")
     measures = [
         "debits", "credits", "debit_amount", "credit_amount", "cash", "present", "not_present",
