@@ -3,6 +3,7 @@ import re
 
 from tidemark.llm import secret_scan as scan
 from tidemark.llm.common import store
+from tidemark.llm.queries import op5_secrets
 from tidemark.session import scratch_path
 
 SECRET = 'x password = "abcdefghij12" y'
@@ -69,3 +70,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     assert ledger.scanned(scan.RULE_VERSION).count() == odd_docs.select("text").fillna("", "text").distinct().count()
     assert scan.scan_versions(no_docs, ledger, "2", path_col="doc_id").count() == 0
+
+
+def test_query_against_the_contract(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = op5_secrets(spark, sf_dir).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        base = base_spans(texts[r.doc_id])
+        counts = [sum(kind == k for *_, kind in base) for k in ("assign", "access", "hex")]
+        assert [r.n_assign, r.n_access, r.n_hex] == counts
+        text = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(filter(None, text.split(","))) <= set(r.spans.split(","))

@@ -58,13 +58,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = secret_scan.scan_versions(docs, ledger, "0", path_col="doc_id")
     kinds = [rule.kind for rule in secret_scan.RULES[:secret_scan.BASE_KINDS]]
-    base = F.filter("spans", lambda s: s.kind_no < secret_scan.BASE_KINDS)
+    base = F.filter("spans", lambda s: s["kind_no"] < secret_scan.BASE_KINDS)
     return found.select(
         F.col("path").alias("doc_id"),
-        *[
-            F.size(F.filter("spans", lambda s, kind=kind: s.kind == kind)).cast("bigint")
-            .alias(f"n_{kind}") for kind in kinds
-        ],
+        *[secret_scan.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in kinds],
         F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
         secret_scan.digest(F.col("spans")).alias("spans"),
     )

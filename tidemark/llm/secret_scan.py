@@ -135,10 +135,15 @@ def scan_versions(
     )
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    """How many of the spans are of the kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def digest(spans: Column) -> Column:
     """kind:start:end of the spans in their order, comma-joined."""
     return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ","
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
     )
 
 
