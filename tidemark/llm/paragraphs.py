@@ -7,7 +7,9 @@ what meets is verified). In a band every content is compared with a few members
 which joins a family of near copies with a number of comparisons in proportion to its size.
 Contents of one band that are in different components after that are compared pair by pair, so no
 link between contents that meet is lost, and pairs inside a component, which could change nothing,
-are not made.
+are not made. Bands travel with an eight-byte key of the content and without texts, are exchanged
+once for both counting and joining, and texts are fetched only for contents that meet. Keys of
+different contents are equal for one pair in 10^19.
 """
 
 from __future__ import annotations
@@ -70,31 +72,35 @@ def jaccard(a: str, b: str) -> float:
 
 
 PARAGRAPHS = (
-    "doc_id bigint, paragraph int, start bigint, end bigint, n_words int, content string, "
+    "doc_id bigint, paragraph int, start bigint, end bigint, n_words int, content binary, "
     "bands array<bigint>, text string"
 )
 
 
 def paragraphs(docs: DataFrame, id_col="doc_id", text_col="text", min_words=MIN_WORDS) -> DataFrame:
-    """Every paragraph of every row: place (code points, end exclusive), content key, bands, text."""
+    """Every paragraph of every row: place (code points, end exclusive), content, bands, text.
+
+    `bands` and `text` are null where the same content came before in the slice of texts that a
+    task works on, so that a paragraph in a third of all rows is hashed and sent once a slice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            rows, known = [], {}
+            rows, known = [], set()
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 for number, line in enumerate(LINE.finditer(text)):
                     words = line.group().encode().lower().split()
                     if len(words) < min_words:
                         continue
-                    key = xxhash.xxh3_128_hexdigest(b" ".join(words))
-                    if key not in known:
-                        known[key] = band_hashes(shingle_hashes(words))
+                    content, bands, body = xxhash.xxh3_128_digest(b" ".join(words)), None, None
+                    if content not in known:
+                        known.add(content)
+                        bands, body = band_hashes(shingle_hashes(words)), line.group()
                     rows.append((
-                        doc, number, line.start(), line.end(), len(words), key, known[key],
-                        line.group(),
+                        doc, number, line.start(), line.end(), len(words), content, bands, body
                     ))
             columns = list(zip(*rows)) or [[]] * 8
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(),
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
                      pa.list_(pa.int64()), pa.string()]
             yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(columns, types)],
@@ -111,8 +117,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     def exact(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    a = texts.select(F.col("content").alias("a"), F.col("text").alias("a_text"))
-    b = texts.select(F.col("content").alias("b"), F.col("text").alias("b_text"))
+    a = texts.select(F.col("key").alias("a"), F.col("text").alias("a_text"))
+    b = texts.select(F.col("key").alias("b"), F.col("text").alias("b_text"))
     both = pairs.join(a, "a").join(b, "b")
     return both.where(exact("a_text", "b_text") >= similarity).select("a", "b")
 
@@ -121,25 +127,29 @@ def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(contents: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) of contents with enough links between them to connect all that are similar.
+def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b), keys of contents, with enough links between them to connect all that are similar.
 
-    `contents` has distinct (content, bands), `texts` the text of each.
+    `every` has (content, bands, text) as `paragraphs` gives them.
     """
-    met = contents.select("content", F.explode("bands").alias("band"))
-    orders = [F.min(F.struct(F.xxhash64("content", F.lit(k)), "content")) for k in range(DRAWN)]
+    known = every.where("bands is not null").withColumn("key", F.xxhash64("content"))
+    met = known.select("key", F.explode("bands").alias("band")).repartition("band")
     drawn = met.groupBy("band").agg(
-        F.array(*[o["content"] for o in orders]).alias("drawn"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1").select("band", "drawn")
+        F.min("key").alias("low"), F.max("key").alias("high"),
+        *[F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"drawn{k}") for k in range(DRAWN)],
+    ).where("low <> high")
+    drawn = drawn.select("band", F.array(*[f"drawn{k}" for k in range(DRAWN)]).alias("drawn"))
     shared = store(met.join(drawn, "band"), "bands")
-    stars = shared.select("content", F.explode("drawn").alias("other")).where(
-        F.col("content") != F.col("other")
-    ).select(*_pair(F.col("content"), F.col("other"))).distinct()
+    texts = known.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
+    texts = store(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
+    stars = shared.select("key", F.explode("drawn").alias("other")).where(
+        F.col("key") != F.col("other")
+    ).select(*_pair(F.col("key"), F.col("other"))).distinct()
     near = store(_similar(stars, texts, similarity), "near-paragraphs")
     found = connected_components(near)
-    placed = shared.select("band", "content").join(
-        found, shared["content"] == found["node"], "left"
-    ).select("band", "content", F.coalesce("component", "content").alias("component"))
+    placed = shared.select("band", "key").join(
+        found, shared["key"] == found["node"], "left"
+    ).select("band", "key", F.coalesce("component", "key").alias("component"))
     apart = placed.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high").select("band")
@@ -147,7 +157,7 @@ def links(contents: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     x, y = rest.alias("x"), rest.alias("y")
     across = x.join(y, (F.col("x.band") == F.col("y.band"))
                     & (F.col("x.component") < F.col("y.component")))
-    across = across.select(*_pair(F.col("x.content"), F.col("y.content"))).distinct()
+    across = across.select(*_pair(F.col("x.key"), F.col("y.key"))).distinct()
     untested = across.join(stars, ["a", "b"], "left_anti")
     return near.union(_similar(untested, texts, similarity))
 
@@ -163,16 +173,15 @@ def repeated_paragraphs(
     paragraphs; rows without an id have a place but never come first unless there is no other.
     Rows that repeat, id included, repeat their paragraphs. An empty table gives no rows.
     """
-    every = store(paragraphs(docs, id_col, text_col, min_words), "paragraphs")
+    every = store(paragraphs(docs, id_col, text_col, min_words), "paragraphs", "zstd")
     where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
     known = store(every.groupBy("content").agg(
         F.count(F.lit(1)).alias("n"), F.min(where).alias("first"),
-        F.first("bands").alias("bands"), F.first("text").alias("text"),
-    ), "contents")
-    joined = connected_components(links(known.select("content", "bands"), known, similarity))
-    rooted = known.select("content", "n", "first").join(
-        joined, known["content"] == joined["node"], "left"
-    ).select("content", "n", "first", F.coalesce("component", "content").alias("root"))
+    ), "contents").withColumn("key", F.xxhash64("content"))
+    joined = connected_components(links(every, similarity))
+    rooted = known.join(joined, known["key"] == joined["node"], "left").select(
+        "content", "n", "first", F.coalesce("component", "key").alias("root")
+    )
     clusters = rooted.groupBy("root").agg(
         F.sum("n").alias("occurrences"), F.min("first").alias("head")
     ).where("occurrences > 1")
