@@ -3,12 +3,14 @@
 A version of a file is known by the sha256 of its content. The ledger holds which blob has been
 scanned under which version of the rules and what was found. A scan reads only pairs that the
 ledger lacks, each blob once however many paths and versions share it, and joins the findings back
-to all paths. Every batch writes a folder of its own, so a batch that runs again replaces itself.
+to all paths. Contents are compressed before they are shuffled to be told apart by their blob.
+Every batch writes a folder of its own, so a batch that runs again replaces itself.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,20 +91,34 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...], rule_version: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             spans = [
-                [dict(zip(names, span)) for span in find_spans(text, rules)]
-                for text in part.column(1).to_pylist()
+                [dict(zip(names, span)) for span in find_spans(_unpack(packed), rules)]
+                for packed in part.column(1).to_pylist()
             ]
             yield pa.record_batch([
                 part.column(0), pa.array([rule_version] * len(spans), pa.string()),
                 pa.array(spans, spans_type),
             ], ["blob", "rule_version", "spans"])
 
-    return blobs.select("blob", "text").mapInArrow(run, FOUND)
+    return blobs.select("blob", "packed").mapInArrow(run, FOUND)
 
 
-def _with_blob(texts: DataFrame, text_col: str) -> DataFrame:
-    content = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return texts.select(content.alias("text")).select(F.sha2("text", 256).alias("blob"), "text")
+def _unpack(packed: bytes) -> str:
+    return zlib.decompress(packed).decode()
+
+
+def _packed(versions: DataFrame, text_col: str) -> DataFrame:
+    """(blob, packed) of every row: the sha256 of its content and the content compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            packed = [zlib.compress(text.encode(), 1) for text in part.column(1).to_pylist()]
+            yield pa.record_batch(
+                [part.column(0), pa.array(packed, pa.binary())], ["blob", "packed"]
+            )
+
+    content = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    texts = versions.select(content).select(F.sha2("text", 256).alias("blob"), "text")
+    return texts.mapInArrow(run, "blob string, packed binary")
 
 
 def scan_unseen(
@@ -111,8 +127,8 @@ def scan_unseen(
 ) -> DataFrame:
     """Scan the blobs that the ledger lacks; (blob, spans) of all blobs with findings in it."""
     unseen = (
-        _with_blob(versions, text_col).join(ledger.scanned(rule_version), "blob", "left_anti")
-        .groupBy("blob").agg(F.first("text").alias("text"))
+        _packed(versions, text_col).join(ledger.scanned(rule_version), "blob", "left_anti")
+        .groupBy("blob").agg(F.first("packed").alias("packed"))
     )
     ledger.append(batch, _scan(unseen, rules, rule_version))
     return ledger.scanned(rule_version).where(F.size("spans") > 0)
