@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.conftest import MODEL
@@ -77,3 +78,20 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted(r.text for r in rows) == sorted(texts)
     assert {len(r.ids) for r in rows if r.text == ""} == {0}
     assert codec.encode(no_docs, MODEL).count() == 0
+
+
+def test_ids_are_those_of_the_model(vocabulary):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    texts = [t for t in docs if t][:400] + random_texts(120, 90) + [
+        "tokenization of documents", "a" + " " * 37 + "b", "x" * 300, "日本語" * 40, "internationalisation" * 9,
+    ]
+    texts = [t for t in texts if "▁" not in t]  # read as a space there, kept as bytes here
+    encoder = codec.Encoder(vocabulary)
+    found = codec._encode_slice(pa.array(texts), encoder, {}).to_pylist()
+    for text, ids in zip(texts, found):
+        assert ids == model.encode(text)
+    for text in texts[400:]:
+        assert streamed(text, vocabulary)[0] == model.encode(text)

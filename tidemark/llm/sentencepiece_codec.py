@@ -1,16 +1,21 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
 A text that isn't empty gets a leading space; among all ways to cut it into pieces (their mark
-U+2581 read as a space) the one with the largest sum of piece scores is taken, of equals the one
-whose last piece, and then the one before, is shortest. A character outside the vocabulary, the
-mark itself included, falls back to its UTF-8 bytes, so decoding gives back every text.
+U+2581 read as a space) the one with the best path is taken, of equals the one whose last piece,
+and then the one before, is shortest. A character outside the vocabulary, the mark itself
+included, falls back to its UTF-8 bytes, so decoding gives back every text.
+
+The best path of a unigram model has the largest sum of scores. Scores of a BPE model are merge
+ranks, whose sum means nothing: there a path loses a point for each two neighbours that the merges
+of the two alone would not leave as they are. Merges only look at neighbours, so the one path
+without a loss is what merging the whole text gives, and that of a prefix is found the same way.
 
 `StreamingEncoder` keeps a window of the longest piece's length: best score and backpointer of
 the open positions. As soon as all backpointer paths from the window meet in one boundary the ids
 before it are final and are committed. Spaces are only ever at the start of a piece, so paths
 always meet before a run of them: that cuts a text into units that don't depend on each other.
 Units repeat, so a task takes its distinct ones, runs short units side by side in numpy (position
-by position, the same recurrence) and feeds longer ones to the streaming search.
+by position, the same recurrence; for BPE merge by merge) and feeds longer ones to the search.
 """
 
 from __future__ import annotations
@@ -34,17 +39,72 @@ UNITS_AT_ONCE = 20_000
 REMEMBERED = 200_000
 UNSEEN = -1e18
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+NO_MERGE = np.int32(2**31 - 1)
+BPE = 2
+
+
+class Merges:
+    """The merges of a BPE model: of all neighbours that join to a piece the best score, leftmost."""
+
+    def __init__(self, scores: dict[str, float]):
+        self.scores = scores
+        self.known: dict[tuple[str, str], bool] = {}
+
+    def cut(self, text: str) -> list[str]:
+        parts = list(text)
+        while len(parts) > 1:
+            joined = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+            best = max(joined)
+            if best == -np.inf:
+                break
+            at = joined.index(best)
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def leave(self, left: str, right: str) -> bool:
+        """Do they leave the two as they are? Without a left one: do they make the right one?"""
+        found = self.known.get((left, right))
+        if found is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = self.cut(left + right) == ([left, right] if left else [right])
+            self.known[left, right] = found
+        return found
+
+
+class Path(float):
+    """Minus the number of neighbours in a path that merges would not leave, and its last piece.
+
+    A piece is the path of itself: adding it to a path looks at the two that meet.
+    """
+
+    def __new__(cls, value: float, last: str = "", merges: Merges | None = None):
+        path = super().__new__(cls, value)
+        path.last, path.merges = last, merges
+        return path
+
+    def __add__(self, piece: Path) -> Path:
+        lost = not self.merges.leave(self.last, piece.last)
+        return Path(float(self) - lost, piece.last, self.merges)
+
+    def __radd__(self, start: float) -> Path:
+        lost = not self.merges.leave("", self.last)
+        return Path(float(start) - lost, self.last, self.merges)
+
+    def __sub__(self, before: float) -> Path:
+        return Path(float(self) - float(before), self.last, self.merges)
 
 
 @dataclass
 class Vocabulary:
-    """Pieces (with spaces for marks) with ids and scores, the ids of the 256 bytes, a byte's score,
-    and the bytes each id stands for."""
+    """Pieces (with spaces for marks) with ids and scores (of BPE: paths), the ids of the 256 bytes,
+    a byte's score, the bytes each id stands for, and the merges if the model is BPE."""
 
     pieces: dict[str, tuple[int, float]]
     byte_ids: list[int]
     byte_score: float
     decoded: list[bytes]
+    merges: Merges | None = None
     longest: int = field(init=False)
 
     def __post_init__(self):
@@ -54,6 +114,7 @@ class Vocabulary:
     def load(cls, model_file: str) -> Vocabulary:
         """Read a SentencePiece model file. Nothing is trained."""
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         size = model.get_piece_size()
@@ -69,6 +130,11 @@ class Vocabulary:
                 pieces[text], decoded[i] = (i, model.get_score(i)), text.encode()
         if len(set(byte_ids)) < 256:
             raise ValueError("the model has no byte pieces to fall back on")
+        proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+        if proto.trainer_spec.model_type == BPE:
+            merges = Merges({text: score for text, (_, score) in pieces.items()})
+            pieces = {text: (i, Path(0.0, text, merges)) for text, (i, _) in pieces.items()}
+            return cls(pieces, byte_ids, 0.0, decoded, merges)
         # Dearer than any piece, so that bytes are only for what no piece covers.
         least = min(score for _, score in pieces.values())
         return cls(pieces, byte_ids, 10 * min(least, -1.0), decoded)
@@ -76,7 +142,10 @@ class Vocabulary:
     def fallback(self, char: str) -> tuple[list[int], float]:
         """Ids and score of one character by its bytes."""
         raw = char.encode()
-        return [self.byte_ids[b] for b in raw], self.byte_score * len(raw)
+        ids = [self.byte_ids[b] for b in raw]
+        if self.merges:
+            return ids, Path(0.0, char, self.merges)
+        return ids, self.byte_score * len(raw)
 
 
 class StreamingEncoder:
@@ -151,7 +220,76 @@ class Encoder:
         if len(np.unique(keys)) != len(keys):
             raise ValueError("two pieces share a hash")
         self.ids = np.array([vocabulary.pieces[w][0] for w in words], np.int64)[order]
-        self.scores = np.array([vocabulary.pieces[w][1] for w in words])[order]
+        self.scores = np.array([vocabulary.pieces[w][1] for w in words], float)[order]
+        if vocabulary.merges:
+            self._index_merges(vocabulary.merges)
+
+    def _index_merges(self, merges: Merges) -> None:
+        """Number the characters and pieces; per two that join, what they make and its rank."""
+        symbols = sorted(set(merges.scores).union(*merges.scores))
+        number = {text: k for k, text in enumerate(symbols)}
+        self.symbol_ids = np.array([self.v.pieces.get(s, (-1,))[0] for s in symbols], np.int64)
+        chars = [s for s in symbols if len(s) == 1]
+        self.chars = np.array([ord(c) for c in chars], np.int64)
+        self.char_symbols = np.array([number[c] for c in chars], np.int64)
+        self.symbols = np.int64(len(symbols))
+        ranks = np.unique([-x for x in merges.scores.values()], return_inverse=True)[1]
+        pairs = sorted(
+            (number[text[:at]] * len(symbols) + number[text[at:]], number[text], rank)
+            for text, rank in zip(merges.scores, ranks.tolist())
+            for at in range(1, len(text)) if text[:at] in number and text[at:] in number
+        )
+        keys, made, rank = zip(*pairs) if pairs else ((-1,), (-1,), (NO_MERGE,))
+        self.pairs, self.made = np.array(keys, np.int64), np.array(made, np.int64)
+        self.ranks = np.array(rank, np.int32)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of two symbols each and what it makes."""
+        key = np.where((left >= 0) & (right >= 0), left * self.symbols + right, -2)
+        place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        found = self.pairs[place] == key
+        return np.where(found, self.ranks[place], NO_MERGE), np.where(found, self.made[place], -1)
+
+    def _merged(self, units: list[str]) -> list[list[int]]:
+        """The merges of short units at once: one merge of each unit per step."""
+        n, width = len(units), max(map(len, units))
+        points = self._points(units, width).astype(np.int64)
+        # Column `width` ends every row: no symbol, so nothing merges with it.
+        symbol = np.full((n, width + 1), -1, np.int64)
+        place = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
+        symbol[:, :width] = np.where(self.chars[place] == points, self.char_symbols[place], -1)
+        begins = np.zeros((n, width + 1), bool)
+        begins[:, :width] = points > 0
+        after = np.tile(np.arange(1, width + 2), (n, 1))
+        before = np.tile(np.arange(-1, width), (n, 1))
+        rank, made = np.full((n, width + 1), NO_MERGE), np.full((n, width + 1), -1, np.int64)
+        rank[:, :width], made[:, :width] = self._joined(symbol[:, :-1], symbol[:, 1:])
+        rows = np.arange(n)
+        while len(rows):
+            at = rank[rows].argmin(axis=1)
+            going = rank[rows, at] < NO_MERGE
+            rows, at = rows[going], at[going]
+            gone = after[rows, at]
+            then = after[rows, gone]
+            symbol[rows, at], begins[rows, gone] = made[rows, at], False
+            rank[rows, gone] = NO_MERGE
+            after[rows, at], before[rows, then] = then, at
+            rank[rows, at], made[rows, at] = self._joined(symbol[rows, at], symbol[rows, then])
+            some = before[rows, at] >= 0
+            row, right = rows[some], at[some]
+            left = before[row, right]
+            rank[row, left], made[row, left] = self._joined(symbol[row, left], symbol[row, right])
+        row, at = np.nonzero(begins)
+        ids = np.where(symbol[row, at] >= 0, self.symbol_ids[symbol[row, at]], -1)
+        ends = np.cumsum(begins.sum(axis=1)).tolist()
+        flat, out = ids.tolist(), []
+        for start, end in zip([0, *ends], ends):
+            out.append(flat[start:end])
+        for k in np.flatnonzero(ids < 0)[::-1].tolist():
+            r, raw = row[k], self.v.fallback(units[row[k]][at[k]])[0]
+            inside = k - (ends[r - 1] if r else 0)
+            out[r][inside:inside + 1] = raw
+        return out
 
     @staticmethod
     def _points(texts: list[str], width: int) -> np.ndarray:
@@ -235,9 +373,10 @@ class Encoder:
         # Code point 0 pads the side-by-side search, so a unit with one is streamed.
         short = [k for k, u in enumerate(units) if 0 < len(u) <= SHORT and "\0" not in u]
         short.sort(key=lambda k: len(units[k]))
+        together = self._merged if self.v.merges else self._side_by_side
         for at in range(0, len(short), UNITS_AT_ONCE):
             some = short[at:at + UNITS_AT_ONCE]
-            for k, ids in zip(some, self._side_by_side([units[k] for k in some])):
+            for k, ids in zip(some, together([units[k] for k in some])):
                 out[k] = ids
         for k in set(range(len(units))).difference(short):
             out[k] = self._streamed(units[k])
