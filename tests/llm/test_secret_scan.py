@@ -54,6 +54,17 @@ def test_ledger_scans_each_blob_once_per_rule_version(spark):
     assert ledger.scanned(scan.RULE_VERSION).count() in (3, 4)
 
 
+def test_a_batch_that_runs_again_keeps_its_findings(spark):
+    ledger = scan.BlobLedger(spark, scratch_path(spark, "ledger"))
+    first = spark.createDataFrame([("a", "clean"), ("b", "new"), ("c", "x")], "path string, text string")
+    second = spark.createDataFrame([("d", SECRET), ("e", "new")], "path string, text string")
+    scan.scan_versions(first, ledger, "1").collect()
+    for _ in range(2):
+        found = {r.path: len(r.spans) for r in scan.scan_versions(second, ledger, "2").collect()}
+        assert found == {"d": 1, "e": 0}
+        assert ledger.scanned(scan.RULE_VERSION).count() == 4
+
+
 def test_masking_covers_overlaps(spark):
     text = "k token=deadbeefdeadbeef00 end"
     spans = [dict(zip(("start", "kind_no", "end", "kind"), s)) for s in scan.find_spans(text)]

@@ -68,16 +68,30 @@ class BlobLedger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def scanned(self, rule_version: str) -> DataFrame:
-        """(blob, spans) of all pairs with this rule version; none before the first batch."""
+    def scanned(self, rule_version: str, but: str | None = None) -> DataFrame:
+        """(blob, spans) of all pairs with this rule version; none before the first batch.
+
+        The folder of the batch `but` is not read.
+        """
+        folders = [f"{self.folder}/batch-*"] if but is None else self._folders(but)
         try:
-            rows = self.spark.read.schema(FOUND).parquet(f"{self.folder}/batch-*")
+            rows = self.spark.read.schema(FOUND).parquet(*folders) if folders else None
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
+            rows = None
+        if rows is None:
             rows = self.spark.createDataFrame([], FOUND)
         return rows.where(F.col("rule_version") == rule_version).select("blob", "spans")
 
+    def _folders(self, but: str) -> list[str]:
+        """Folders of all batches other than this one."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batch-*")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [(s.getPath().getName(), s.getPath().toString()) for s in files.globStatus(path) or ()]
+        return [folder for name, folder in found if name != f"batch-{but}"]
+
     def append(self, batch: str, found: DataFrame) -> None:
         found.write.mode("overwrite").parquet(f"{self.folder}/batch-{batch}")
 
@@ -125,9 +139,13 @@ def scan_unseen(
     versions: DataFrame, ledger: BlobLedger, batch: str, text_col: str = "text",
     rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION,
 ) -> DataFrame:
-    """Scan the blobs that the ledger lacks; (blob, spans) of all blobs with findings in it."""
+    """Scan the blobs that the ledger lacks; (blob, spans) of all blobs with findings in it.
+
+    What the batch itself wrote before counts as lacking, since this run replaces it.
+    """
+    others = ledger.scanned(rule_version, but=batch)
     unseen = (
-        _packed(versions, text_col).join(ledger.scanned(rule_version), "blob", "left_anti")
+        _packed(versions, text_col).join(others, "blob", "left_anti")
         .groupBy("blob").agg(F.first("packed").alias("packed"))
     )
     ledger.append(batch, _scan(unseen, rules, rule_version))
