@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
+    ann, decision_list, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
 )
 from tidemark.llm.common import crc_remainder, read
 from tidemark.session import scratch_path
@@ -102,6 +102,13 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decision_list.quality_rules(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    )
+    return found.select("doc_id", *decision_list.COUNTS, "base_failed", "rule", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_quality": op2_quality,
@@ -113,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_minhash": op9_minhash,
     "op10_neighbours": op10_neighbours,
+    "op13_quality_rules": op13_quality_rules,
 }
 ORACLES: dict[str, str] = {}
