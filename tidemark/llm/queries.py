@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann, decision_list, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash,
+    ann, decision_list, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash, whitening,
 )
 from tidemark.llm.common import crc_remainder, read
 from tidemark.session import scratch_path
@@ -102,6 +102,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(read(spark, sf_dir, "embeddings"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decision_list.quality_rules(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -120,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_minhash": op9_minhash,
     "op10_neighbours": op10_neighbours,
+    "op11_whitening": op11_whitening,
     "op13_quality_rules": op13_quality_rules,
 }
 ORACLES: dict[str, str] = {}
