@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann, decision_list, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash, whitening,
+    ann, decision_list, hard_negatives, licences, minhash, mixing, paragraphs, pitman_yor, quality, secret_scan, sentencepiece_codec, simhash, whitening,
 )
 from tidemark.llm.common import crc_remainder, read
 from tidemark.session import scratch_path
@@ -106,6 +106,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening(read(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), moved)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decision_list.quality_rules(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": op9_minhash,
     "op10_neighbours": op10_neighbours,
     "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_quality_rules": op13_quality_rules,
 }
 ORACLES: dict[str, str] = {}
