@@ -28,6 +28,8 @@ UNIT = 256
 # Components up to this size keep every score, times a hundred, inside 64 bits.
 LARGEST = 2.0 ** 15
 BLOCK_ROWS = 256
+# Blocks of a page that the first round reads per window.
+FIRST_BLOCKS = 16
 PAGE_BLOCKS = 256
 CURVE_DIMENSIONS = 8
 CURVE_BITS = 7
@@ -199,8 +201,10 @@ class Asked:
 
 
 def chosen_blocks(asked: Asked, low, high, label_low, label_high, same_label: bool, first: bool):
-    """(window, zone) places that must be read: the most promising zone per window, or all that can
-    hold a score inside the window and no lower than the best so far."""
+    """(window, zone) places that must be read: the most promising zones per window, or all that can
+    hold a score inside the window and no lower than the best so far.
+
+    Most promising are those whose middle scores nearest to the upper end of the window."""
     least, most = score_bounds(asked.v, low, high)
     label = asked.labels[:, None]
     if same_label:
@@ -212,9 +216,10 @@ def chosen_blocks(asked: Asked, low, high, label_low, label_high, same_label: bo
     fits &= (most >= floor) & (least <= asked.high[:, None])
     if not first:
         return np.nonzero(fits)
-    reach = np.where(fits, np.minimum(most, asked.high[:, None]), -np.inf)
-    window = np.flatnonzero(fits.any(axis=1))
-    return window, reach.argmax(axis=1)[window]
+    off = np.where(fits, np.abs((least + most) / 2 - asked.high[:, None]), np.inf)
+    nearest = np.argsort(off, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+    window, place = np.nonzero(np.take_along_axis(fits, nearest, axis=1))
+    return window, nearest[window, place]
 
 
 def best_rows(asked: Asked, windows: np.ndarray, ids, labels, v, same_label: bool, k: int):

@@ -34,8 +34,8 @@ DECAY = 1e-3
 ROUNDS = 100
 STORED_EVERY = 8
 # Step lengths tried, each with the scale of the moments and, where few rows move, nearer to none.
-SIZES = (2.0, 1.0, 0.5, 0.25, 2.0 ** -4, 2.0 ** -7)
-DAMPED = (1e-10, 1e-3, 1.0, 100.0)
+SIZES = (1.0, 0.5, 2.0 ** -3, 2.0 ** -6)
+DAMPED = (1e-10, 1e-2, 10.0)
 # Shares are met to this, optimality conditions to this; less progress than this is none.
 TOLERANCE = 1e-9
 PROGRESS = 1e-6
