@@ -105,17 +105,44 @@ def test_window_and_join_shapes_agree(spark, bank):
 
 
 def test_later_facts_do_not_change_features(spark, bank):
-    leaks = quality.leak_future_months(bank, features.feature_rows, dt.date(2025, 3, 1))
+    leaks = quality.changed_by_later_facts(bank, features.feature_rows, dt.date(2025, 3, 1))
     assert leaks.isEmpty()
 
 
-def test_the_leak_test_finds_a_leak(spark, bank):
+def test_removed_facts_show_a_peeking_feature(spark, bank):
     def peeking(b):
         now = b.customer_complaints.groupBy(
             "customer_id", F.col("complaint_month").alias("as_of_month")).count()
         return now
 
-    assert not quality.leak_future_months(bank, peeking, dt.date(2025, 3, 1)).isEmpty()
+    assert not quality.changed_by_later_facts(bank, peeking, dt.date(2025, 3, 1)).isEmpty()
+
+
+def test_sources_of_every_month_lie_before_it(spark, bank):
+    """Only the planted feature and the final resolved flag look ahead, and in many months."""
+    report = rows(quality.leak_future_months(bank).select(
+        "feature", "as_of_month", "n_leaking", "largest_lead"))
+    leaking = {r[0] for r in report if r[2]}
+    assert leaking == {"planted_current_month", "unresolved_complaints"}
+    assert len({r[1] for r in report}) == 18
+    assert {r[3] for r in report if r[0] == "planted_current_month"} == {0}
+    assert all(r[3] < 0 for r in report if r[0] == "unresolved_complaints_strict" and r[3] is not None)
+    clean = quality.leak_future_months(bank, {})
+    assert clean.filter("feature = 'planted_current_month'").isEmpty()
+
+
+def test_source_month_follows_the_fact(spark):
+    """A complaint of month 6 closed in month 9: its final flag is later than as-of month 8."""
+    filed = [{"complaint_id": 1, "complaint_month": month(6), "resolved_flag": True}]
+    held = [{"snapshot_month": month(m), "products_count": 1} for m in (2, 7, 8)]
+    bank = tiny(spark, customer_complaints=filed, product_holdings_monthly=held)
+    events = spark.createDataFrame([(1, month(9), "complaint_resolved")],
+                                   "customer_id long, event_month date, event_type string")
+    bank = bank.replace(**bank._tables, hidden_events=events)
+    got = {r.feature: r.largest_lead for r in quality.leak_future_months(bank).collect()}
+    assert got["unresolved_complaints"] == 1 and got["unresolved_complaints_strict"] == -2
+    assert got["products_count"] == -1 and got["complaint_count_6m"] == -2
+    assert got["dormant_days"] is None
 
 
 def test_schema_contract_reports_problems(spark):

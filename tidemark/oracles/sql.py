@@ -92,7 +92,8 @@ SQL |= {
           AS sigmoid
         FROM (SELECT customer_id, snapshot_month,
           least(CAST(1.0 - 1e-5 AS DOUBLE), greatest(CAST(1e-5 AS DOUBLE),
-            CAST(credit_txn_count AS DOUBLE) / (credit_txn_count + debit_txn_count))) AS p,
+            CASE WHEN credit_txn_count + debit_txn_count = 0 THEN CAST(0.5 AS DOUBLE) ELSE
+            CAST(credit_txn_count AS DOUBLE) / (credit_txn_count + debit_txn_count) END)) AS p,
           CAST(credit_txn_count - debit_txn_count AS DOUBLE) AS x FROM activity)""",
     "clip_score": """SELECT feedback_id, CAST(least(10, greatest(0,
         round_even(CAST(nps_score AS DOUBLE) * 1.5 - 3.0, 0))) AS INT) AS clipped
@@ -763,6 +764,54 @@ def ks_report(metric: str, values: str, limit: float) -> str:
             count(*) FILTER (WHERE side = 1) AS b FROM ({values}) GROUP BY v))"""
 
 
+# (measure, its rows as customer_id, m: the month it is filed under, seen: the month it is known)
+SEEN = {
+    "bal": ("acct_snap WHERE current_balance IS NOT NULL", "snapshot_month"),
+    "salary": ("acct_snap WHERE salary_credit_amount > 0", "snapshot_month"),
+    "util": ("card_snap WHERE utilization_rate IS NOT NULL", "snapshot_month"),
+    "emi": ("loan_snap WHERE emi_amount IS NOT NULL", "snapshot_month"),
+    "txns": ("activity", "snapshot_month"),
+    "logins": ("activity WHERE login_count IS NOT NULL", "snapshot_month"),
+    "dormant": ("activity WHERE days_since_last_txn IS NOT NULL", "snapshot_month"),
+    "campaigns": ("digital", "snapshot_month"),
+    "complaints": ("complaint", "complaint_month"),
+    "nps": ("feedback WHERE nps_score IS NOT NULL", "feedback_month"),
+    "products": ("hold", "snapshot_month"),
+    "filed": ("resolved", "complaint_month"),
+    "closed": ("resolved WHERE resolved_month IS NOT NULL", "resolved_month"),
+}
+# (feature, measure, first month, last month) of everything a feature reads.
+READS = (
+    ("products_count", "products", -1, -1), ("product_acquisition_velocity_6m", "products", -1, -1),
+    ("product_acquisition_velocity_6m", "products", -6, -6),
+    ("balance_change_3m", "bal", -6, -1), ("txn_count_change_3m", "txns", -6, -1),
+    ("login_count_change_6m", "logins", -12, -1), ("complaint_count_6m", "complaints", -6, -1),
+    ("unresolved_complaints", "final flag", -999, -1),
+    ("unresolved_complaints_strict", "filed", -999, -1),
+    ("unresolved_complaints_strict", "closed", -999, -1),
+    ("days_since_last_login", "last login", -1, -1),
+    ("salary_credit_consistency", "salary", -6, -1), ("credit_utilization", "util", -1, -1),
+    ("total_emi", "emi", -1, -1), ("dormant_days", "dormant", -1, -1),
+    ("nps_avg_12m", "nps", -12, -1), ("campaign_response_rate", "campaigns", -12, -1),
+    ("planted_current_month", "txns", -2, 0),
+)
+LEADS = f"""WITH seen AS (
+      {" UNION ALL ".join(
+        f"SELECT '{name}' AS measure, customer_id, {m} AS m, {m} AS known FROM {rows}"
+        for name, (rows, m) in SEEN.items())}
+      UNION ALL SELECT 'final flag', customer_id, complaint_month,
+        greatest(complaint_month, coalesce(resolved_month, complaint_month)) FROM resolved
+      UNION ALL SELECT 'last login', customer_id, snapshot_month, greatest(snapshot_month,
+        CAST(date_trunc('month', last_login_date) AS DATE)) FROM digital
+        WHERE last_login_date IS NOT NULL),
+    reads(feature, measure, start, stop) AS (VALUES {", ".join(map(str, READS))})
+    SELECT feature, spine.customer_id, as_of_month,
+      max(datediff('month', as_of_month, known)) AS lead
+    FROM spine CROSS JOIN reads LEFT JOIN seen ON seen.customer_id = spine.customer_id
+      AND seen.measure = reads.measure AND m >= as_of_month + to_months(start)
+      AND m <= as_of_month + to_months(stop)
+    GROUP BY ALL"""
+
 PARITY_TABLES = {
     "customer_master": "cust", "account_master": "acct", "customer_complaints": "complaint",
     "customer_feedback": "feedback", "customer_churn_label": "label",
@@ -771,7 +820,9 @@ SQL |= {
     "validation_report": f"""SELECT * FROM ({ALL_CHECKS}) UNION ALL
         SELECT 'overall', bool_and(passed), CAST(sum(violations) AS BIGINT), 'all checks'
         FROM ({ALL_CHECKS})""",
-    "leak_future_months": """SELECT customer_id, as_of_month FROM label WHERE false""",
+    "leak_future_months": f"""SELECT feature, as_of_month, count(*) AS n_rows,
+        count(lead) AS n_sourced, count(*) FILTER (WHERE lead >= 0) AS n_leaking,
+        CAST(max(lead) AS INT) AS largest_lead FROM ({LEADS}) GROUP BY ALL""",
     "parity_overall_rate": """SELECT round(a, 10) AS left_rate, round(b, 10) AS right_rate,
         abs(a - b) <= 0.01 AS passed FROM (SELECT
           avg(CAST(churned AS INT)) FILTER (WHERE customer_id % 2 = 0) AS a,

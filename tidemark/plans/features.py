@@ -7,6 +7,9 @@ A frame [-k, -1] on month_idx is the half-open calendar window [as_of - k, as_of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,40 +126,53 @@ def _frame(start: int | None, end: int):
     return order.rangeBetween(Window.unboundedPreceding if start is None else start, end)
 
 
-def _sum(name: str, start: int | None, end: int) -> Column:
-    return F.sum(name).over(_frame(start, end))
+class Frame(NamedTuple):
+    """An aggregate of one monthly measure over months start..end from the as-of month."""
+
+    aggregate: Callable[[str], Column]
+    measure: str
+    start: int | None
+    end: int
+
+    def value(self) -> Column:
+        return self.aggregate(self.measure).over(_frame(self.start, self.end))
+
+    def latest_source(self) -> Column:
+        """Latest month that anything in the frame was taken from, over the very same months."""
+        seen = f"seen_{MEAN_OF.get(self.measure, self.measure)}"
+        return F.max(seen).over(_frame(self.start, self.end))
 
 
-def _mean(name: str, start: int, end: int) -> Column:
-    return F.avg(name).over(_frame(start, end))
+# Measures that are means of others.
+MEAN_OF = {"avg_bal": "bal_cents", "avg_util": "util_units"}
 
 
-def _at(name: str, lag: int) -> Column:
+def _at(measure: str, lag: int) -> Frame:
     """The value of the single panel row `lag` months back."""
-    return F.max(name).over(_frame(-lag, -lag))
+    return Frame(F.max, measure, -lag, -lag)
 
 
 # Every window aggregate the features use, each computed once.
 FRAMES = {
-    "products_m1": lambda: _at("products", 1),
-    "products_m6": lambda: _at("products", 6),
-    "bal_recent": lambda: _mean("avg_bal", -3, -1),
-    "bal_prior": lambda: _mean("avg_bal", -6, -4),
-    "txn_recent": lambda: _mean("txns", -3, -1),
-    "txn_prior": lambda: _mean("txns", -6, -4),
-    "login_recent": lambda: _mean("logins", -6, -1),
-    "login_prior": lambda: _mean("logins", -12, -7),
-    "complaints_6m": lambda: _sum("complaints", -6, -1),
-    "unresolved_before": lambda: _sum("unresolved", None, -1),
-    "last_login_m1": lambda: _at("last_login", 1),
-    "salary_months": lambda: _sum("salaried", -6, -1),
-    "util_m1": lambda: _at("avg_util", 1),
-    "emi_m1": lambda: _at("emi_cents", 1),
-    "dormant_m1": lambda: _at("dormant", 1),
-    "nps_sum_12m": lambda: _sum("nps_sum", -12, -1),
-    "nps_n_12m": lambda: _sum("nps_n", -12, -1),
-    "responded_12m": lambda: _sum("responded", -12, -1),
-    "received_12m": lambda: _sum("received", -12, -1),
+    "products_m1": _at("products", 1),
+    "products_m6": _at("products", 6),
+    "bal_recent": Frame(F.avg, "avg_bal", -3, -1),
+    "bal_prior": Frame(F.avg, "avg_bal", -6, -4),
+    "txn_recent": Frame(F.avg, "txns", -3, -1),
+    "txn_prior": Frame(F.avg, "txns", -6, -4),
+    "login_recent": Frame(F.avg, "logins", -6, -1),
+    "login_prior": Frame(F.avg, "logins", -12, -7),
+    "complaints_6m": Frame(F.sum, "complaints", -6, -1),
+    "unresolved_before": Frame(F.sum, "unresolved", None, -1),
+    "last_login_m1": _at("last_login", 1),
+    "salary_months": Frame(F.sum, "salaried", -6, -1),
+    "util_m1": _at("avg_util", 1),
+    "emi_m1": _at("emi_cents", 1),
+    "dormant_m1": _at("dormant", 1),
+    "nps_sum_12m": Frame(F.sum, "nps_sum", -12, -1),
+    "nps_n_12m": Frame(F.sum, "nps_n", -12, -1),
+    "responded_12m": Frame(F.sum, "responded", -12, -1),
+    "received_12m": Frame(F.sum, "received", -12, -1),
 }
 
 
@@ -241,23 +257,31 @@ def eligible_spine(labels: DataFrame, first_month) -> DataFrame:
     return eligible_rows(labels, first_month).distinct()
 
 
-def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame) -> DataFrame:
-    """Replace unresolved_complaints by what was open at the as-of month, seen from then."""
-    resolved = resolution_months(complaints, events)
-    changes = resolved.select(
+# Complaints filed less complaints closed, up to the as-of month.
+OPEN_SO_FAR = Frame(F.sum, "delta", None, -1)
+
+
+def _open_changes(resolved: DataFrame) -> DataFrame:
+    """(customer_id, month, delta): complaints filed in the month, less those closed in it."""
+    return resolved.select(
         "customer_id", F.col("complaint_month").alias("month"), F.col("n").alias("delta")
     ).unionByName(
         resolved.filter(F.col("resolved_month").isNotNull()).select(
             "customer_id", F.col("resolved_month").alias("month"), (-F.col("n")).alias("delta")
         )
     )
+
+
+def _strict_open(panel_rows: DataFrame, complaints: DataFrame, events: DataFrame) -> DataFrame:
+    """Replace unresolved_complaints by what was open at the as-of month, seen from then."""
+    changes = _open_changes(resolution_months(complaints, events))
     marks = panel_rows.select("customer_id", F.col("as_of_month").alias("month"))
     monthly = stack_measures(
         [changes, marks.withColumn("wanted", F.lit(True))],
         ["customer_id", "month"],
         {"delta": F.sum("delta"), "wanted": F.bool_or("wanted")},
     ).withColumn("month_idx", month_index(F.col("month")))
-    so_far = F.coalesce(_sum("delta", None, -1), F.lit(0)).cast("int")
+    so_far = F.coalesce(OPEN_SO_FAR.value(), F.lit(0)).cast("int")
     opened = monthly.withColumn("open_now", so_far).filter("wanted")
     fixed = opened.select("customer_id", F.col("month").alias("as_of_month"), "open_now")
     return (
@@ -281,7 +305,7 @@ def window_features(
         half_up = F.expr("(2 * util_units + util_n) div (2 * util_n)")
         means["avg_util"] = half_up / F.lit(10_000.0)
     framed = panel.withColumns(means).select(
-        "customer_id", "month", "is_spine", *[FRAMES[f]().alias(f) for f in frames]
+        "customer_id", "month", "is_spine", *[FRAMES[f].value().alias(f) for f in frames]
     )
     return framed.filter("is_spine").select(
         "customer_id", F.col("month").alias("as_of_month"),
@@ -289,6 +313,68 @@ def window_features(
     )
 
 
+# What a deliberately wrong feature would read: the as-of month itself.
+PLANTED_LEAK = {"planted_current_month": (("activity",), (Frame(F.avg, "txns", -2, 0),))}
+
+
+def _with_seen(source: DataFrame) -> DataFrame:
+    """Each measure of a source replaced by the month it comes from, where it has a value.
+
+    A login is as late as its date says, whatever month it is reported in.
+    """
+    def seen(measure: str) -> Column:
+        month = month_index(F.col("month"))
+        if measure == "last_login":
+            month = F.greatest(month, month_index(F.col("last_login")))
+        return F.when(F.col(measure).isNotNull(), month).alias(f"seen_{measure}")
+
+    return source.select(
+        "customer_id", "month", *[seen(c) for c in source.columns if c not in ("customer_id", "month")]
+    )
+
+
+def source_months(bank, planted: dict = PLANTED_LEAK) -> DataFrame:
+    """(customer_id, as_of_month, month_idx, one column per feature): its latest source month.
+
+    The months travel beside the measures: every source row marks the month its values come from,
+    marks are maximised through the same panel and the same frames that compute the features, and
+    a feature takes the latest of its frames. Null where a feature had no source. The final
+    resolved flag of a complaint is known from the month that closed it, so that is its month.
+    `unresolved_complaints_strict` is the feature of `as_of_strict`; `planted` adds more.
+    """
+    resolved = resolution_months(bank.customer_complaints, bank.hidden_events)
+    flags = resolved.select("customer_id", F.col("complaint_month").alias("month"), F.greatest(
+        month_index(F.col("complaint_month")), month_index(F.col("resolved_month"))
+    ).alias("seen_unresolved"))
+    sources = [
+        _with_seen(df.drop("unresolved") if name == "complaints" else df)
+        for name, df in panel_sources(bank).items()
+    ]
+    sources += [flags, _with_seen(_open_changes(resolved))]
+    spine = eligible_rows(bank.customer_churn_label, bank.first_month)
+    sources.append(_source(spine, "as_of_month", is_spine=F.lit(True)))
+    marks = {c for df in sources for c in df.columns if c.startswith("seen_")}
+    panel = stack_measures(
+        sources, ["customer_id", "month"],
+        {"is_spine": F.bool_or("is_spine"), **{m: F.max(m) for m in sorted(marks)}},
+    ).withColumn("month_idx", month_index(F.col("month")))
+    frames = {
+        name: [FRAMES[f] for f in used] for name, (_, used, _) in WINDOW_FEATURES.items()
+    }
+    frames["unresolved_complaints_strict"] = [OPEN_SO_FAR]
+    frames |= {name: list(used) for name, (_, used) in planted.items()}
+
+    def latest(used: list[Frame]) -> Column:
+        months = [f.latest_source() for f in used]
+        return F.greatest(*months) if len(months) > 1 else months[0]
+
+    framed = panel.select(
+        "customer_id", F.col("month").alias("as_of_month"), "month_idx", "is_spine",
+        *[latest(used).alias(name) for name, used in frames.items()],
+    )
+    return framed.filter("is_spine").drop("is_spine")
+
+
 def emi_ratio() -> Column:
     monthly_income = F.col("annual_income").cast("double") / 12.0
     ratio = safe_rate(F.col("total_emi"), monthly_income)

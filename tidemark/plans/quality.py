@@ -11,6 +11,7 @@ from tidemark.operators.joins import orphans, with_customer
 from tidemark.operators.panel import stack_measures
 from tidemark.operators.sets import union_tables
 from tidemark.operators.windows import trailing_count
+from tidemark.plans.features import PLANTED_LEAK, source_months
 from tidemark.session import inline_table
 from tidemark.sources.schemas import COMPOSITE_KEYS, FOREIGN_KEYS, SCHEMAS, SINGLE_KEYS
 
@@ -310,10 +311,28 @@ def schema_contract(bank, names: tuple[str, ...] = tuple(SCHEMAS)) -> DataFrame:
     return union_tables(reports).withColumn("status", problem)
 
 
-def leak_future_months(bank, features, cut) -> DataFrame:
-    """Features of as-of months up to `cut` that change when facts from `cut` on are altered.
+def leak_future_months(bank, planted: dict = PLANTED_LEAK) -> DataFrame:
+    """Per feature and as-of month: rows, rows with a source, rows that look ahead, largest lead.
 
-    Every monthly source loses its rows at or after the cut; a feature that only looks at earlier
+    Each row's latest source month is compared with its as-of month: a feature may use earlier
+    months only, so a lead of 0 or more is a leak. All as-of months are checked in one pass.
+    """
+    months = source_months(bank, planted)
+    names = [c for c in months.columns if c not in ("customer_id", "as_of_month", "month_idx")]
+    leads = months.select("as_of_month", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("feature"), (F.col(n) - F.col("month_idx")).alias("lead"))
+        for n in names
+    ])))
+    return leads.groupBy("feature", "as_of_month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("lead").alias("n_sourced"),
+        F.count_if(F.col("lead") >= 0).alias("n_leaking"), F.max("lead").alias("largest_lead"),
+    )
+
+
+def changed_by_later_facts(bank, features, cut) -> DataFrame:
+    """Features of as-of months up to `cut` that change when facts from `cut` on are removed.
+
+    The same question asked by experiment, for one cut: a feature that only looks at earlier
     months cannot notice. The labels stay, they are not features. Empty when nothing leaks.
     """
     def before(table: str, column: str) -> DataFrame:
