@@ -11,16 +11,19 @@ from tidemark.session import reliable
 TASK_ROWS = 5_000_000
 
 
-def ordered_slices(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+def ordered_slices(
+    df: DataFrame, order: list[str], task_rows: int = TASK_ROWS, n_rows: int | None = None
+) -> DataFrame:
     """Range-partition rows on `order` and tag each with its slice number.
 
     A slice lies wholly before the next one in `order`, and a hot key is cut over as many slices
-    as its share of the rows; their number follows from the rows. Range bounds come from a sample,
+    as its share of the rows; their number follows from the rows (`n_rows` if known). Range bounds come from a sample,
     so the tagged rows are written to the shared folder once: every later reader then sees the
     same slices.
     """
     fewest = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(fewest, -(-df.count() // task_rows))
+    n_rows = df.count() if n_rows is None else n_rows
+    slices = max(fewest, -(-n_rows // task_rows))
     ranged = df.repartitionByRange(slices, *order).withColumn("slice_id", F.spark_partition_id())
     return reliable(ranged)
 
@@ -56,10 +59,10 @@ def _slice_offsets(
 
 def sliced_running_sums(
     df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column],
-    start: DataFrame | None = None, task_rows: int = TASK_ROWS,
+    start: DataFrame | None = None, task_rows: int = TASK_ROWS, n_rows: int | None = None,
 ) -> DataFrame:
     """Running sums per key in `order`, computed slice by slice plus an offset per slice."""
-    sliced = ordered_slices(df, [*keys, *order], task_rows)
+    sliced = ordered_slices(df, [*keys, *order], task_rows, n_rows)
     within = (
         Window.partitionBy(*keys, "slice_id")
         .orderBy(*order)
@@ -84,20 +87,23 @@ def running_sums(
 ) -> DataFrame:
     """Running sums per key in `order`, on top of what `start` has for the key.
 
-    Keys with more rows than one task may order are found by a count and sliced; the others need
-    one shuffle on the key, shared by the join with `start` and the window. Both ways are always
-    in the plan. There are at most rows / task_rows hot keys, so their table may be broadcast.
+    Keys with more rows than one task may order are found by a count, which reads the key alone;
+    there are at most rows / task_rows of them, so they come to the driver. Without any, one
+    shuffle on the key serves the join with `start` and the window and nothing is written. Hot
+    keys, if there are some, are sliced.
     """
-    hot = reliable(
-        df.groupBy(key).count().filter(F.col("count") > task_rows).select(F.col(key).alias("hot"))
-    )
+    counted = df.groupBy(key).count().filter(F.col("count") > task_rows)
+    counted = counted.select(F.col(key).alias("hot"), "count")
+    found = counted.collect()
+    hot = df.sparkSession.createDataFrame(found, counted.schema).drop("count")
     is_hot = F.col(key) == F.col("hot")
+    rows = df.join(F.broadcast(hot), is_hot, "left_anti") if found else df
     window = (
         Window.partitionBy(key)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cold = df.join(F.broadcast(hot), is_hot, "left_anti").select(*df.columns, *[
+    cold = rows.select(*df.columns, *[
         F.sum(value).over(window).alias(name) for name, value in sums.items()
     ])
     if start is not None:
@@ -105,8 +111,11 @@ def running_sums(
         cold = cold.join(opened, key, "left").select(*df.columns, *[
             (F.col(n) + F.coalesce(F.col(f"{n}__start"), F.lit(0))).alias(n) for n in sums
         ])
+    if not found:
+        return cold
     busy = df.join(F.broadcast(hot), is_hot, "left_semi")
-    sliced = sliced_running_sums(busy, [key], order, sums, start, task_rows)
+    n_rows = sum(r["count"] for r in found)
+    sliced = sliced_running_sums(busy, [key], order, sums, start, task_rows, n_rows)
     return cold.unionByName(sliced)
 
 

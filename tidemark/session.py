@@ -49,6 +49,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of a folder wherever the session's file systems reach it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if it does not exist."""
+    files, at = _file_system(spark, path)
+    if not files.exists(at):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(at) if s.isDirectory())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    files, at = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and continue from there; survives executor loss."""
     spark = df.sparkSession
