@@ -98,3 +98,36 @@ def test_streak_matches_a_loop(spark):
         for i in range(1, 13):
             run = 0 if (c, month(i)) in used else run + 1
             assert got[(c, month(i))] == run
+
+
+def test_counter_by_composed_steps_equals_a_loop(spark):
+    """Any cap, histories longer than the calendar claims before the first month that counts."""
+    import random
+
+    draw = random.Random(4)
+    hits = {c: [draw.random() < p for _ in range(37)] for c, p in enumerate((0.2, 0.5, 0.8, 1.0, 0.0))}
+    table = spark.createDataFrame(
+        [(c, m, h) for c, row in hits.items() for m, h in enumerate(row)],
+        "customer_id long, month_idx int, hit boolean",
+    )
+    for cap in (1, 2, 5):
+        got = {(r.customer_id, r.month_idx): r.level for r in windows.with_leaky_counter(
+            table, F.col("hit"), "level", 37, cap).collect()}
+        for c, row in hits.items():
+            level = 0
+            for m, hit in enumerate(row):
+                level = min(cap, level + 1) if hit else max(0, level - 1)
+                assert got[c, m] == level
+
+
+def test_rows_after_the_churn_month_are_dropped(spark):
+    table = spark.createDataFrame(
+        [(c, month(m), churned) for c, m, churned in (
+            (1, 1, False), (1, 2, True), (1, 3, False), (1, 4, True), (2, 1, False), (2, 2, None), (3, 1, True),
+        )], "customer_id long, snapshot_month date, churned boolean",
+    )
+    kept = rows(windows.until_churn(table).select("customer_id", "snapshot_month"))
+    assert kept == [(1, month(1)), (1, month(2)), (2, month(1)), (2, month(2)), (3, month(1))]
+    got = {r.customer_id: (r.churn_month, r.active_months_generated)
+           for r in windows.churn_month(table).collect()}
+    assert got == {1: (month(2), 2), 2: (None, 2), 3: (month(1), 1)}

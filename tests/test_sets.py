@@ -31,6 +31,21 @@ def test_ks_statistic(spark):
     assert empty == [("annual_income", 1.0, False)]
 
 
+def test_ks_statistic_of_many_values_and_few_ranges(spark):
+    """The largest gap lies inside a range, at an end, or in a range of one heavy value."""
+    rng = np.random.default_rng(8)
+    cases = {
+        "annual_income": (rng.normal(0, 1, 3_000), rng.normal(0.1, 1.2, 2_000)),
+        "final_balance": (rng.normal(0, 1, 900), np.append(np.zeros(700), rng.normal(0, 1, 200))),
+        "txn_count": (rng.integers(0, 9, 500), rng.integers(0, 9, 500)),
+    }
+    left = values(spark, **{m: a for m, (a, _) in cases.items()})
+    right = values(spark, **{m: b for m, (_, b) in cases.items()})
+    for ranges in (2, 5, 64):
+        got = {r[0]: r[1] for r in rows(parity.parity_ks(left, right, ranges))}
+        assert got == {m: round(ks(a, b), 10) for m, (a, b) in cases.items()}
+
+
 def test_orphans_ignore_null_keys(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long")
     parent = spark.createDataFrame([(1,)], "id long")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import constants as K
 from tidemark.functions.calendar import month_index, month_sequence
 from tidemark.operators.panel import stack_measures
 
@@ -67,26 +69,52 @@ def digital_inactive_streak(calendar: DataFrame, digital: DataFrame) -> DataFram
     )
 
 
-def leaky_counter(hits: Column, cap: int = 2) -> Column:
-    """Value of a counter after an array of booleans: +1 up to cap on a hit, else -1 down to 0."""
-    return F.aggregate(
-        hits,
-        F.lit(0),
-        lambda level, hit: F.when(hit, F.least(level + 1, F.lit(cap))).otherwise(
-            F.greatest(level - 1, F.lit(0))
-        ),
-    )
+class ClampedStep(NamedTuple):
+    """The map x -> min(high, max(low, x + shift)); such maps compose to such maps."""
 
+    low: Column
+    high: Column
+    shift: Column
 
-def history(value: Column, month: str = "month_idx") -> Column:
-    """The values of a customer's months up to the current one (bounded by the calendar)."""
-    so_far = Window.partitionBy("customer_id").orderBy(month).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return F.collect_list(value).over(so_far)
+    def __call__(self, level: Column) -> Column:
+        return F.least(self.high, F.greatest(self.low, level + self.shift))
+
+    def after(self, first: "ClampedStep") -> "ClampedStep":
+        """This map applied to the outcome of another."""
+        return ClampedStep(self(first.low), self(first.high), self.shift + first.shift)
 
 
-def service_failure_counter(calendar: DataFrame, events: DataFrame) -> DataFrame:
+def with_leaky_counter(
+    rows: DataFrame, hit: Column, name: str, months: int, cap: int = 2, index: str = "month_idx"
+) -> DataFrame:
+    """Add a counter per customer: +1 up to `cap` on a hit, else -1 down to 0, from 0.
+
+    Each month is a clamped step. Steps are composed with those 1, 2, 4, ... rows back, so after
+    the logarithm of `months` rounds each row holds the composition of everything before it. All
+    rounds share one exchange and sort, and a row carries three numbers however long the history.
+    `months` is the number of rows, before which the counter is known to be 0.
+    """
+    order = Window.partitionBy("customer_id").orderBy(index)
+    names = ["step_low", "step_high", "step_shift"]
+    shift = F.when(F.coalesce(hit, F.lit(False)), F.lit(1)).otherwise(F.lit(-1))
+    out = rows.select("*", F.lit(0).alias(names[0]), F.lit(cap).alias(names[1]), shift.alias(names[2]))
+    here = ClampedStep(*[F.col(n) for n in names])
+    back = 1
+    while back < months:
+        earlier = out.select("*", *[F.lag(n, back).over(order).alias(f"{n}_before") for n in names])
+        both = here.after(ClampedStep(*[F.col(f"{n}_before") for n in names]))
+        out = earlier.select(*rows.columns, *[
+            F.when(F.col(f"{n}_before").isNull(), F.col(n)).otherwise(value).alias(n)
+            for n, value in zip(names, both)
+        ])
+        back *= 2
+    return out.select(*rows.columns, here(F.lit(0)).alias(name))
+
+
+def service_failure_counter(
+    calendar: DataFrame, events: DataFrame, months: int = K.N_MONTHS
+) -> DataFrame:
+    """Counter of months with a service failure; `months` is the length of the calendar."""
     failed = (
         events.filter(F.col("event_type") == "bank_service_failure")
         .select("customer_id", F.col("event_month").alias("snapshot_month"))
@@ -94,9 +122,8 @@ def service_failure_counter(calendar: DataFrame, events: DataFrame) -> DataFrame
         .withColumn("failed", F.lit(True))
     )
     rows = calendar.join(failed, ["customer_id", "snapshot_month"], "left")
-    hits = history(F.coalesce(F.col("failed"), F.lit(False)))
-    return rows.withColumn("hits", hits).select(
-        "customer_id", "snapshot_month", leaky_counter(F.col("hits")).alias("service_failures_2m")
+    return with_leaky_counter(rows, F.col("failed"), "service_failures_2m", months).select(
+        "customer_id", "snapshot_month", "service_failures_2m"
     )
 
 
@@ -148,17 +175,18 @@ def trailing_count(spine: DataFrame, facts: DataFrame, month: str, back: int) ->
     )
 
 
+def until_churn(decisions: DataFrame) -> DataFrame:
+    """Rows up to and including the first month a customer churns; later ones are dropped."""
+    so_far = by_month().rowsBetween(Window.unboundedPreceding, -1)
+    gone = F.max(F.coalesce("churned", F.lit(False))).over(so_far)
+    kept = decisions.withColumn("already_gone", F.coalesce(gone, F.lit(False)))
+    return kept.filter(~F.col("already_gone")).drop("already_gone")
+
+
 def churn_month(decisions: DataFrame) -> DataFrame:
     """First month a customer churns and the months generated up to and including it."""
-    first = F.min(F.when(F.col("churned"), F.col("snapshot_month")))
-    grouped = decisions.groupBy("customer_id").agg(
-        first.alias("churn_month"),
-        F.min("snapshot_month").alias("first_month"),
-        F.max("snapshot_month").alias("last_month"),
-    )
-    months = month_index(F.coalesce("churn_month", "last_month")) - month_index(
-        F.col("first_month")
-    )
-    return grouped.select(
-        "customer_id", "churn_month", (months + 1).cast("int").alias("active_months_generated")
+    kept = until_churn(decisions)
+    return kept.groupBy("customer_id").agg(
+        F.max(F.when(F.col("churned"), F.col("snapshot_month"))).alias("churn_month"),
+        F.count(F.lit(1)).cast("int").alias("active_months_generated"),
     )

@@ -12,8 +12,7 @@ from tidemark.functions.money import money
 from tidemark.functions.scores import logit, sigmoid
 from tidemark.operators.ledger import primary_account
 from tidemark.operators.panel import stack_measures
-from tidemark.operators.windows import by_month_index, history, leaky_counter, streak
-from tidemark.plans.behaviour import conditional_event_gate, has_event, resolution_months
+from tidemark.operators.windows import by_month_index, streak, with_leaky_counter
 from tidemark.session import inline_table
 
 
@@ -29,96 +28,145 @@ def _monthly(df: DataFrame, month: str, **columns) -> DataFrame:
     )
 
 
-def churn_signals(bank) -> DataFrame:
-    """Score components and trigger inputs for every customer and month up to the churn month.
+# Events that count only where something else holds, and what the others are called here.
+GATED = {
+    "card_decline_spike": "declines", "loan_delinquency_start": "delinquencies",
+    "complaint_resolved": "resolutions", "campaign_exposure": "exposures",
+}
+FLAGGED = {
+    "salary_job_change": "job_change", "salary_delay": "delay", "home_purchase": "home",
+    "large_life_expense": "expense", "bank_service_failure": "failure",
+}
 
-    All facts are stacked onto a customer calendar and aggregated once; streaks, trailing counts,
-    lags and counters are frames of one window over that panel. Months outside the calendar are
-    cut after the window, so complaints filed before it still count. Conditional events count only
-    where their condition holds.
+
+def _signal_sources(bank) -> list[DataFrame]:
+    """Everything the signals are made of, by customer and month.
+
+    What holds for a customer as a whole is filed under the first month.
     """
     state = bank.churn_simulation_state
-    salaried = primary_account(bank.account_master).select("customer_id", "salary_account_flag")
-    calendar = state.join(salaried, "customer_id", "left").select(
-        "customer_id", "persona", "salary_account_flag",
-        "churn_month",
+    calendar = state.select(
+        "customer_id", "persona", "churn_month",
         F.explode(month_sequence(bank.first_month, bank.n_months)).alias("snapshot_month"),
     ).filter(
         F.col("churn_month").isNull() | (F.col("snapshot_month") <= F.col("churn_month"))
     )
+    # A number instead of the name keeps the stacked aggregate on fixed-size buffers.
+    persona_number = F.array_position(personas(), F.col("persona")).cast("int")
+    first = F.lit(bank.first_month)
+    owners = primary_account(bank.account_master).withColumn("snapshot_month", first)
+    cards = bank.card_portfolio.filter(F.col("card_status") == "Active").select(
+        "customer_id", first.alias("snapshot_month")
+    )
     accounts = bank.account_monthly_snapshot.join(
         bank.account_master.select("account_id", "customer_id"), "account_id"
     )
-    fired = conditional_event_gate(
-        bank.hidden_events, bank.card_portfolio, bank.loan_states, bank.customer_complaints,
-        bank.digital_engagement_monthly, state,
-    )
-    events = fired.groupBy("customer_id", "event_month").agg(
-        F.count(F.lit(1)).alias("events"),
-        *[has_event(e).alias(e) for e in (
-            "salary_job_change", "salary_delay", "home_purchase", "large_life_expense",
-            "bank_service_failure",
-        )],
+    # A loan that was active at the end of the month before, or has just begun.
+    before = F.lag("loan_status", 1, "Active").over(
+        Window.partitionBy("loan_id").orderBy("snapshot_month")
     )
-    resolved = resolution_months(bank.customer_complaints, bank.hidden_events)
-    # A number instead of the name keeps the stacked aggregate on fixed-size buffers.
-    names = F.array(*[F.lit(name) for name in K.PERSONA_NAMES])
-    persona_number = F.array_position(names, F.col("persona")).cast("int")
-    digital_use = F.col("mobile_app_active") | (F.col("web_sessions") > 0)
-    sources = [
-        _monthly(calendar, "snapshot_month", persona_number=persona_number,
-                 salary_account=F.col("salary_account_flag")),
+    loans = bank.loan_states.withColumn("at_start", before)
+    event = F.col("event_type")
+    gated = {name: F.when(event == kind, 1) for kind, name in GATED.items()}
+    flagged = {name: event == kind for kind, name in FLAGGED.items()}
+    return [
+        _monthly(calendar, "snapshot_month", persona_number=persona_number),
+        _monthly(owners, "snapshot_month", salary_account=F.col("salary_account_flag")),
+        _monthly(cards, "snapshot_month", has_card=F.lit(True)),
         _monthly(accounts, "snapshot_month", balance=F.col("current_balance"),
                  salary=F.col("salary_credit_amount") > 0),
-        _monthly(events, "event_month", events=F.col("events"),
-                 job_change=F.col("salary_job_change"), delay=F.col("salary_delay"),
-                 home=F.col("home_purchase"), expense=F.col("large_life_expense"),
-                 failure=F.col("bank_service_failure")),
+        _monthly(bank.hidden_events, "event_month", **gated, **flagged,
+                 others=F.when(~event.isin(*GATED), 1)),
         _monthly(bank.product_holdings_monthly, "snapshot_month",
                  products=F.col("products_count")),
-        _monthly(resolved, "complaint_month", filed=F.col("n")),
-        _monthly(resolved.filter(F.col("resolved_month").isNotNull()), "resolved_month",
-                 closed=F.col("n")),
-        _monthly(bank.loan_states, "snapshot_month", dpd=F.col("dpd_days"),
-                 delinquent=F.col("loan_status") == "Delinquent"),
-        _monthly(bank.digital_engagement_monthly, "snapshot_month", used=digital_use),
+        _monthly(bank.customer_complaints, "complaint_month", filed=F.lit(1)),
+        _monthly(loans, "snapshot_month", dpd=F.col("dpd_days"),
+                 delinquent=F.col("loan_status") == "Delinquent",
+                 has_loan=F.col("at_start") == "Active"),
+        _monthly(bank.digital_engagement_monthly, "snapshot_month",
+                 used=F.col("mobile_app_active") | (F.col("web_sessions") > 0)),
     ]
+
+
+def personas() -> Column:
+    return F.array(*[F.lit(name) for name in K.PERSONA_NAMES])
+
+
+def _signal_panel(bank) -> DataFrame:
+    """One row per customer and month with what happened in it."""
     def any_(name: str) -> Column:
         return F.coalesce(F.bool_or(name), F.lit(False))
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
-    panel = stack_measures(sources, ["customer_id", "snapshot_month"], {
+    flags = (*FLAGGED.values(), "salary_account", "has_card", "salary", "has_loan", "used",
+             "delinquent")
+    panel = stack_measures(_signal_sources(bank), ["customer_id", "snapshot_month"], {
         "persona_number": F.max("persona_number"),
-        "salary_account": any_("salary_account"),
-        "balance": total("balance"),
-        "salary": any_("salary"),
-        "events": total("events"),
-        **{n: any_(n) for n in ("job_change", "delay", "home", "expense", "failure", "used",
-                                "delinquent")},
+        **{name: any_(name) for name in flags},
+        **{name: total(name) for name in ("balance", "filed", "others", *GATED.values())},
         "products": F.coalesce(F.max("products"), F.lit(0)),
-        "filed": total("filed"),
-        "closed": total("closed"),
         "dpd": F.coalesce(F.max("dpd"), F.lit(0)),
     })
-    inside = F.col("persona_number").isNotNull()
-    panel = panel.withColumns({
+    return panel.withColumns({
         "month_idx": month_index(F.col("snapshot_month")),
-        "persona": F.element_at(names, F.col("persona_number")),
+        "persona": F.element_at(personas(), F.col("persona_number")),
     })
+
+
+def _framed(panel: DataFrame, n_months: int) -> DataFrame:
+    """Streaks, trailing counts, lags, open complaints and gated events, in frames of one order.
+
+    A resolution closes every complaint filed in an earlier month. What is open is therefore all
+    that was filed, less what had been filed before the month of the last resolution.
+    """
+    inside = F.col("persona_number").isNotNull()
     order = by_month_index()
-    framed = panel.select(
-        "*",
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("customer_id")
+    rows = panel.select(
+        "*", F.sum("filed").over(so_far).alias("filed_so_far"),
+        F.coalesce(F.sum("filed").over(earlier), F.lit(0)).alias("filed_before"),
+        F.max("has_card").over(whole).alias("owns_card"),
+        F.max("salary_account").over(whole).alias("salaried"),
+    )
+    closed = F.when(F.col("resolutions") > 0, F.col("filed_before"))
+    rows = rows.select(
+        "*", F.coalesce(F.last(closed, True).over(so_far), F.lit(0)).alias("closed_so_far"),
+        F.coalesce(F.last(closed, True).over(earlier), F.lit(0)).alias("closed_before"),
+    )
+    native = F.col("persona") == "digital_native"
+    fired = F.col("others") + (
+        F.when(F.col("owns_card"), F.col("declines")).otherwise(0)
+        + F.when(F.col("has_loan"), F.col("delinquencies")).otherwise(0)
+        + F.when(F.col("filed_before") > F.col("closed_before"), F.col("resolutions")).otherwise(0)
+        + F.when(native | F.col("used"), F.col("exposures")).otherwise(0)
+    )
+    framed = rows.select(
+        "*", fired.alias("events"),
         F.lag(F.when(inside, F.col("products"))).over(order).alias("products_before"),
         F.sum("filed").over(order.rangeBetween(-6, 0)).alias("complaint_count_6m"),
-        F.sum(F.col("filed") - F.col("closed"))
-        .over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("unresolved_complaints"),
-        streak(F.col("salary") | ~F.col("salary_account") | ~inside)
-        .alias("months_without_salary"),
+        (F.col("filed_so_far") - F.col("closed_so_far")).alias("unresolved_complaints"),
+        streak(F.col("salary") | ~F.col("salaried") | ~inside).alias("months_without_salary"),
         streak(F.col("used") | ~inside).alias("digital_inactive_months"),
-        history(F.col("failure") & inside).alias("failures"),
-    ).filter(inside)
+    )
+    counted = with_leaky_counter(
+        framed, F.col("failure") & inside, "service_failures_2m", n_months
+    )
+    return counted.filter(inside)
+
+
+def churn_signals(bank) -> DataFrame:
+    """Score components and trigger inputs for every customer and month up to the churn month.
+
+    All facts are stacked onto a customer calendar and aggregated once; streaks, trailing counts,
+    lags, counters, open complaints and the conditions of conditional events are frames of one
+    window over that panel. Months outside the calendar are cut after the window, so complaints
+    filed before it still count.
+    """
+    framed = _framed(_signal_panel(bank), bank.n_months)
     excluded = (F.col("job_change") & F.col("delay")).cast("int") + (
         F.col("home") & F.col("expense")
     ).cast("int")
@@ -140,7 +188,7 @@ def churn_signals(bank) -> DataFrame:
         unresolved.cast("int").alias("unresolved_complaints"),
         money(F.col("balance")).alias("current_balance"),
         "months_without_salary",
-        leaky_counter(F.col("failures")).alias("service_failures_2m"),
+        "service_failures_2m",
         "digital_inactive_months",
         F.lit(False).alias("core_account_closed"),
         F.col("job_change").alias("recent_salary_job_change"),

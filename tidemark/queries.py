@@ -517,7 +517,7 @@ def digital_inactive_streak(bank):
 
 
 def service_failure_counter(bank):
-    return W.service_failure_counter(calendar(bank), bank.hidden_events)
+    return W.service_failure_counter(calendar(bank), bank.hidden_events, bank.n_months)
 
 
 def product_drop(bank):
