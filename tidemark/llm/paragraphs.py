@@ -1,69 +1,156 @@
 """Substring dedup: near-equal paragraphs by MinHash bands, exact Jaccard and components.
 
-A paragraph is a line of at least `MIN_WORDS` words. Equal paragraphs are one content from the
-start. Contents meet where a band of four of their 64 MinHash values over five-word shingles is
-equal; sixteen bands let a pair at Jaccard 0.8 meet with probability 0.9998 (tuned for recall:
-what meets is verified). In a band every content is compared with a few members drawn at random,
-which joins a family of near copies with a number of comparisons in proportion to its size.
-Contents of one band that are in different components after that are compared pair by pair, so no
-link between contents that meet is lost, and pairs inside a component, which could change nothing,
-are not made. Bands travel with an eight-byte key of the content and without texts, are exchanged
-once for both counting and joining, and texts are fetched only for contents that meet. Keys of
-different contents are equal for one pair in 10^19.
+A text is cut at line ends; a line of `min_words` words or more is a paragraph. Equal paragraphs
+are one content from the start. Contents meet where a band of five of their 80 MinHash values over
+five-word shingles is equal; sixteen bands let a pair at Jaccard 0.8 meet with probability 0.998
+(tuned for recall: what meets is verified). In a band every content is compared with a few members
+drawn at random, which joins a family of near copies with a number of comparisons in proportion to
+its size. Bands that still hold more than one component are then compared in blocks: a task gets
+two blocks of contents, counts their shared shingles and returns only the links between
+components, so pairs never become rows and no link between contents that meet is lost.
+
+A passage that repeats inside longer, otherwise different lines is found by its pieces: paragraphs
+are cut further before every word whose hash is the least of those around it, so equal passages are
+cut alike wherever they stand. Lines shorter than a paragraph are pieces too. Pieces count as
+repeated where their content is equal, whatever their length, and are reported where consecutive
+repeated ones make up `min_words` words or more.
+
+Words, contents and shingles are 64-bit polynomial hashes, worked out for a slice of texts at once;
+contents are counted by two of them.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, store, text_slices
+from tidemark.llm.common import id_and_text, plain_strings, store, text_slices
 from tidemark.llm.components import connected_components
 
 MIN_WORDS = 20
+# A word begins a piece if its hash is the least of this many on either side.
+AROUND = 6
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 16, 5
 DRAWN = 4
+BLOCK = 256
 SEED = 3
 _RANDOM = np.random.default_rng(SEED)
 FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 OFFSETS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+# Odd bases of the polynomial hashes: bytes of a word, words of a content (two), of a shingle.
+BYTE_BASE, *CONTENT_BASES, SHINGLE_BASE = (
+    int(b) | 1 for b in _RANDOM.integers(1 << 40, 1 << 63, 4, dtype=np.uint64)
+)
 SHINGLES_AT_ONCE = 1 << 14
-LINE = re.compile("[^\n]+")
+BLANKS = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> np.uint64(33))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def run_hashes(values: np.ndarray, first: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Hash of each run values[first:end], equal for equal runs wherever they stand (mod 2**64)."""
+    up = _powers(base, len(values))
+    down = _powers(pow(base, -1, 1 << 64), len(values))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)])
+    return _mixed((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+
+
+class Words:
+    """The words of a slice of texts in order: text, line, places and hashes.
+
+    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; places are code points in the text.
+    """
+
+    def __init__(self, texts: pa.Array):
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1]
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        raw, offsets = raw[offsets[0]:offsets[-1]], offsets - offsets[0]
+        inside = ~BLANKS[raw]
+        opens = np.zeros(len(raw) + 1, bool)
+        opens[offsets] = True
+        before = np.concatenate([[False], inside[:-1]]) & ~opens[:-1]
+        start = np.flatnonzero(inside & ~before)
+        after = np.concatenate([inside[1:], [False]]) & ~opens[1:]
+        end = np.flatnonzero(inside & ~after) + 1
+        self.text = np.searchsorted(offsets, start, side="right") - 1
+        point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        self.start, self.end = point[start] - point[offsets[self.text]], point[end] - point[offsets[self.text]]
+        line = np.concatenate([[0], np.cumsum(raw == 10)])
+        self.line = line[start] - line[offsets[self.text]]
+        self.hash = run_hashes(LOWER[raw].astype(np.uint64) + np.uint64(1), start, end, BYTE_BASE)
+        # First word of every line, and the end of the last.
+        new = np.ones(len(start), bool)
+        new[1:] = (np.diff(self.line) != 0) | (np.diff(self.text) != 0)
+        self.line_first = np.flatnonzero(new)
+        self.line_end = np.append(self.line_first[1:], len(start)) if len(start) else self.line_first
+
+    def pieces(self, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words and ends of the pieces of all lines, in order."""
+        n = len(self.hash)
+        cut = np.zeros(n, bool)
+        if n > 2 * AROUND:
+            windows = np.lib.stride_tricks.sliding_window_view(self.hash, AROUND).min(axis=1)
+            at = np.arange(AROUND, n - AROUND)
+            own = self.hash[at]
+            size = self.line_end - self.line_first
+            first, end = np.repeat(self.line_first, size)[at], np.repeat(self.line_end, size)[at]
+            cut[at] = (
+                (own < windows[at - AROUND]) & (own < windows[at + 1]) & (at - first >= AROUND)
+                & (end - at > AROUND) & (end - first >= min_words)
+            )
+        cut[self.line_first] = True
+        first = np.flatnonzero(cut)
+        return first, np.append(first[1:], n) if n else first
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """Distinct hashes of the five-word shingles; of all words if they are fewer."""
-    n = max(1, len(words) - SHINGLE + 1)
-    return np.unique(np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(words[i:i + SHINGLE]), SEED) for i in range(n)),
-        np.uint64, n,
-    ))
+def shingle_hashes(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, edges): five-word shingles of each run of words, of all words if they are fewer."""
+    n = np.maximum(end - first - SHINGLE + 1, 1)
+    edges = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(edges[-1]) - np.repeat(edges[:-1] - first, n)
+    return run_hashes(words, at, np.minimum(at + SHINGLE, np.repeat(end, n)), SHINGLE_BASE), edges
 
 
-def band_hashes(shingles: np.ndarray) -> list[int]:
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def band_hashes(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """One row of band hashes per run of shingles."""
+    runs = len(edges) - 1
+    least = np.full((runs, BANDS * ROWS), np.iinfo(np.uint64).max, np.uint64)
+    run = np.repeat(np.arange(runs), np.diff(edges))
     for at in range(0, len(shingles), SHINGLES_AT_ONCE):
-        some = shingles[at:at + SHINGLES_AT_ONCE]
-        mixed = some[:, None] * FACTORS[None, :] + OFFSETS[None, :]
-        mixed ^= mixed >> np.uint64(29)
-        least = np.minimum(least, (mixed * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0))
-    return [
-        xxhash.xxh64_intdigest(least[b * ROWS:(b + 1) * ROWS].tobytes(), b) - (1 << 63)
-        for b in range(BANDS)
-    ]
+        some, of = shingles[at:at + SHINGLES_AT_ONCE], run[at:at + SHINGLES_AT_ONCE]
+        values = some[:, None] * FACTORS[None, :] + OFFSETS[None, :]
+        values ^= values >> np.uint64(29)
+        values *= np.uint64(0xBF58476D1CE4E5B9)
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        part = np.minimum.reduceat(values, starts, axis=0)
+        least[of[starts]] = np.minimum(least[of[starts]], part)
+    out = np.zeros((runs, BANDS), np.uint64)
+    for row in range(ROWS):
+        out = _mixed(out * np.uint64(SHINGLE_BASE) + least[:, row::ROWS])
+    return (out + np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(BYTE_BASE)).view(np.int64)
 
 
 def jaccard(a: str, b: str) -> float:
-    """Exact similarity of the shingle sets of two paragraphs."""
+    """Exact similarity of the shingle sets of two paragraphs, the plain way."""
     x, y = (
         {tuple(w[i:i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))}
         for w in (t.encode().lower().split() for t in (a, b))
@@ -71,81 +158,156 @@ def jaccard(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
-PARAGRAPHS = (
-    "doc_id bigint, paragraph int, start bigint, end bigint, n_words int, content binary, "
-    "bands array<bigint>, text string"
+UNITS = (
+    "doc_id bigint, text_key bigint, whole boolean, paragraph int, piece int, start bigint, "
+    "end bigint, n_words int, key bigint, key2 bigint, bands array<bigint>, shingles array<bigint>"
 )
 
 
-def paragraphs(docs: DataFrame, id_col="doc_id", text_col="text", min_words=MIN_WORDS) -> DataFrame:
-    """Every paragraph of every row: place (code points, end exclusive), content, bands, text.
+def units(docs: DataFrame, id_col="doc_id", text_col="text", min_words=MIN_WORDS) -> DataFrame:
+    """Every paragraph (`whole`) and every piece of every row: place (end exclusive) and content.
 
-    `bands` and `text` are null where the same content came before in the slice of texts that a
-    task works on, so that a paragraph in a third of all rows is hashed and sent once a slice.
+    `bands` and distinct `shingles` are there for paragraphs, and null where the same content came
+    before in the slice of texts that a task works on, so that a paragraph in a third of all rows
+    is hashed and sent once a slice.
     """
+    names = [f.split()[0] for f in UNITS.split(", ")]
+
+    def rows(words: Words, first, end, text_keys, doc_ids, whole: bool, places) -> list[pa.Array]:
+        keys = [run_hashes(words.hash, first, end, b).view(np.int64) for b in CONTENT_BASES]
+        text = words.text[first]
+        bands = shingles = pa.nulls(len(first), pa.list_(pa.int64()))
+        if whole and len(first):
+            new = np.zeros(len(first), bool)
+            new[np.unique(np.stack(keys, axis=1), axis=0, return_index=True)[1]] = True
+            hashes, edges = shingle_hashes(words.hash, first[new], end[new])
+            at = np.cumsum(new) - 1
+            found = band_hashes(hashes, edges)
+            bands = pa.array([found[k] if fresh else None for k, fresh in zip(at, new)], pa.list_(pa.int64()))
+            shingles = pa.array([
+                np.unique(hashes[edges[k]:edges[k + 1]]).view(np.int64) if fresh else None
+                for k, fresh in zip(at, new)
+            ], pa.list_(pa.int64()))
+        return [
+            doc_ids.take(pa.array(text)), pa.array(text_keys[text]), pa.array(np.full(len(first), whole)),
+            pa.array(words.line[first], pa.int32()), pa.array(places, pa.int32()),
+            pa.array(words.start[first], pa.int64()), pa.array(words.end[end - 1], pa.int64()),
+            pa.array(end - first, pa.int32()), pa.array(keys[0]), pa.array(keys[1]), bands, shingles,
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            rows, known = [], set()
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                for number, line in enumerate(LINE.finditer(text)):
-                    words = line.group().encode().lower().split()
-                    if len(words) < min_words:
-                        continue
-                    content, bands, body = xxhash.xxh3_128_digest(b" ".join(words)), None, None
-                    if content not in known:
-                        known.add(content)
-                        bands, body = band_hashes(shingle_hashes(words)), line.group()
-                    rows.append((
-                        doc, number, line.start(), line.end(), len(words), content, bands, body
-                    ))
-            columns = list(zip(*rows)) or [[]] * 8
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
-                     pa.list_(pa.int64()), pa.string()]
-            yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                [f.split()[0] for f in PARAGRAPHS.split(", ")],
+            words = Words(plain_strings(part.column(1)))
+            if not len(words.hash):
+                continue
+            edges = np.searchsorted(words.text, np.arange(part.num_rows + 1))
+            text_keys = run_hashes(words.hash, edges[:-1], edges[1:], CONTENT_BASES[0]).view(np.int64)
+            first, end = words.pieces(min_words)
+            # Number of the piece in its text.
+            number = np.arange(len(first)) - np.searchsorted(words.text[first], words.text[first])
+            yield pa.RecordBatch.from_arrays(
+                rows(words, first, end, text_keys, part.column(0), False, number), names
             )
+            long = words.line_end - words.line_first >= min_words
+            first, end = words.line_first[long], words.line_end[long]
+            if len(first):
+                yield pa.RecordBatch.from_arrays(
+                    rows(words, first, end, text_keys, part.column(0), True, np.full(len(first), -1)), names
+                )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, PARAGRAPHS)
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose texts are similar enough."""
-
-    @F.pandas_udf("double")
-    def exact(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
-
-    a = texts.select(F.col("key").alias("a"), F.col("text").alias("a_text"))
-    b = texts.select(F.col("key").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.join(a, "a").join(b, "b")
-    return both.where(exact("a_text", "b_text") >= similarity).select("a", "b")
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose shingle sets are similar enough."""
+    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
+    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(a, "a").join(b, "b").select(
+        "a", "b", (F.size("x") + F.size("y")).alias("sizes"),
+        F.size(F.array_intersect("x", "y")).alias("shared"),
+    )
+    return both.where(F.col("shared") >= similarity * (F.col("sizes") - F.col("shared"))).select("a", "b")
 
 
 def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of x shares with each set of y."""
+    out = np.zeros((len(x), len(y)), np.int32)
+    left, right = np.concatenate(x), np.concatenate(y)
+    lx, ly = (np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (x, y))
+    order_x, order_y = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
+    left, right, lx, ly = left[order_x], right[order_y], lx[order_x], ly[order_y]
+    for value in np.intersect1d(left, right):
+        a = lx[np.searchsorted(left, value):np.searchsorted(left, value, side="right")]
+        b = ly[np.searchsorted(right, value):np.searchsorted(right, value, side="right")]
+        out[a[:, None], b[None, :]] += 1
+    return out
+
+
+def _links_across(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between components among the members of each band, in pairs of blocks.
+
+    `rest` is (band, key, component). A pair of contents that meets in several bands is looked at
+    in each; what comes out are links only.
+    """
+    sized = rest.join(rest.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "band")
+    own = F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")).cast("int")
+    placed = sized.withColumn("own", own).select(
+        "band", "key", "component", "own",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    ).join(sets, "key")
+    packed = placed.groupBy("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).agg(
+        F.collect_list(F.struct("own", "key", "component", "shingles")).alias("members")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                members = batch.column("members")[row].values
+                own, key, component = (
+                    members.field(c).to_numpy(zero_copy_only=False) for c in ("own", "key", "component")
+                )
+                lists = members.field("shingles")
+                edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+                low, high = batch.column("low")[row].as_py(), batch.column("high")[row].as_py()
+                x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
+                if not len(x) or not len(y):
+                    continue
+                size = np.diff(edges)
+                shared = shared_counts(
+                    [flat[edges[k]:edges[k + 1]] for k in x], [flat[edges[k]:edges[k + 1]] for k in y]
+                )
+                near = shared >= similarity * (size[x][:, None] + size[y][None, :] - shared)
+                near &= component[x][:, None] < component[y][None, :] if low == high else \
+                    component[x][:, None] != component[y][None, :]
+                a, b = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(key[x[a]]), pa.array(key[y[b]])], ["a", "b"])
+
+    return packed.select("low", "high", "members").mapInArrow(run, "a bigint, b bigint")
+
+
 def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b), keys of contents, with enough links between them to connect all that are similar.
 
-    `every` has (content, bands, text) as `paragraphs` gives them.
+    `every` has (key, bands, shingles) as `units` gives them.
     """
-    known = every.where("bands is not null").withColumn("key", F.xxhash64("content"))
-    met = known.select("key", F.explode("bands").alias("band")).repartition("band")
+    known = every.where("bands is not null")
+    met = known.select("key", F.explode("bands").alias("band"))
     drawn = met.groupBy("band").agg(
         F.min("key").alias("low"), F.max("key").alias("high"),
         *[F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"drawn{k}") for k in range(DRAWN)],
     ).where("low <> high")
     drawn = drawn.select("band", F.array(*[f"drawn{k}" for k in range(DRAWN)]).alias("drawn"))
-    shared = store(met.join(drawn, "band"), "bands")
-    texts = known.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
-    texts = store(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
+    shared = store(met.join(drawn, "band").distinct(), "bands")
+    sets = known.select("key", "shingles").join(shared.select("key").distinct(), "key", "left_semi")
+    sets = store(sets.groupBy("key").agg(F.first("shingles").alias("shingles")), "shingle-sets")
     stars = shared.select("key", F.explode("drawn").alias("other")).where(
         F.col("key") != F.col("other")
     ).select(*_pair(F.col("key"), F.col("other"))).distinct()
-    near = store(_similar(stars, texts, similarity), "near-paragraphs")
+    near = store(_similar(stars, sets, similarity), "near-paragraphs")
     found = connected_components(near)
     placed = shared.select("band", "key").join(
         found, shared["key"] == found["node"], "left"
@@ -154,41 +316,62 @@ def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high").select("band")
     rest = store(placed.join(apart, "band"), "apart")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.band") == F.col("y.band"))
-                    & (F.col("x.component") < F.col("y.component")))
-    across = across.select(*_pair(F.col("x.key"), F.col("y.key"))).distinct()
-    untested = across.join(stars, ["a", "b"], "left_anti")
-    return near.union(_similar(untested, texts, similarity))
+    return near.union(_links_across(rest, sets, similarity))
 
 
-def repeated_paragraphs(
-    docs: DataFrame, id_col="doc_id", text_col="text", min_words: int = MIN_WORDS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """Every paragraph that occurs again somewhere, exactly or nearly; the first of each is kept.
+def _rooted(every: DataFrame, similarity: float) -> DataFrame:
+    """(whole, key, key2, occurrences, head): contents of units that occur again, exactly or nearly.
 
-    (doc_id, paragraph, start, end, n_words, first_doc_id, first_start, occurrences, removed): the
-    cluster is named by its first occurrence by id, then place. Null and empty texts have no
-    paragraphs; rows without an id have a place but never come first unless there is no other.
-    Rows that repeat, id included, repeat their paragraphs. An empty table gives no rows.
+    `head` is the first occurrence by id, then place; of near copies, the first of the cluster.
     """
-    every = store(paragraphs(docs, id_col, text_col, min_words), "paragraphs", "zstd")
     where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
-    known = store(every.groupBy("content").agg(
+    contents = store(every.groupBy("whole", "key", "key2").agg(
         F.count(F.lit(1)).alias("n"), F.min(where).alias("first"),
-    ), "contents").withColumn("key", F.xxhash64("content"))
+    ), "contents")
+    pieces = contents.where("NOT whole AND n > 1").select(
+        "whole", "key", "key2", F.col("n").alias("occurrences"), F.col("first").alias("head")
+    )
     joined = connected_components(links(every, similarity))
-    rooted = known.join(joined, known["key"] == joined["node"], "left").select(
-        "content", "n", "first", F.coalesce("component", "key").alias("root")
+    rooted = contents.where("whole").join(joined, F.col("key") == joined["node"], "left").select(
+        "whole", "key", "key2", "n", "first", F.coalesce("component", "key").alias("root")
     )
     clusters = rooted.groupBy("root").agg(
         F.sum("n").alias("occurrences"), F.min("first").alias("head")
     ).where("occurrences > 1")
-    lookup = rooted.join(clusters, "root").select("content", "occurrences", "head")
-    found = every.drop("bands", "text").join(lookup, "content")
-    return found.select(
-        "doc_id", "paragraph", "start", "end", "n_words",
+    paragraphs = rooted.join(clusters, "root").select("whole", "key", "key2", "occurrences", "head")
+    return paragraphs.unionByName(pieces)
+
+
+def repeated_paragraphs(
+    docs: DataFrame, id_col="doc_id", text_col="text", min_words: int = MIN_WORDS,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """Every paragraph and passage that occurs again somewhere; the first of each is kept.
+
+    (doc_id, paragraph, start, end, n_words, whole, first_doc_id, first_start, occurrences,
+    removed): `paragraph` is the number of the line; `whole` rows are paragraphs, repeated exactly
+    or nearly, the others pieces of longer repeated passages outside of those. A cluster is named
+    by its first occurrence by id, then place. Null and empty texts have no paragraphs; rows
+    without an id have a place but never come first unless there is no other. Rows that repeat, id
+    included, repeat their paragraphs. An empty table gives no rows.
+    """
+    every = store(units(docs, id_col, text_col, min_words), "units", "zstd")
+    found = every.drop("bands", "shingles").join(_rooted(every, similarity), ["whole", "key", "key2"])
+    found = store(found.drop("key", "key2"), "repeated-units")
+    # Runs of consecutive repeated pieces of a text; rows that repeat share their numbers.
+    text = ["doc_id", "text_key"]
+    run = Window.partitionBy(*text, "whole").orderBy("piece")
+    runs = found.withColumn("run", F.col("piece") - F.dense_rank().over(run))
+    words = F.sum("n_words").over(Window.partitionBy(*text, "whole", "run"))
+    copies = F.max("copy").over(Window.partitionBy(*text, "whole", "run"))
+    runs = runs.withColumn("copy", F.row_number().over(
+        Window.partitionBy(*text, "whole", "piece", "start").orderBy("end")
+    )).withColumns({"run_words": words / copies, "in_whole": F.max("whole").over(
+        Window.partitionBy(*text, "paragraph")
+    )})
+    kept = runs.where("whole OR (run_words >= {} AND NOT in_whole)".format(int(min_words)))
+    return kept.select(
+        "doc_id", "paragraph", "start", "end", "n_words", "whole",
         F.col("head.doc_id").alias("first_doc_id"), F.col("head.start").alias("first_start"),
         "occurrences",
         (~(
