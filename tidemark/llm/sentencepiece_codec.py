@@ -6,16 +6,16 @@ and then the one before, is shortest. A character outside the vocabulary, the ma
 included, falls back to its UTF-8 bytes, so decoding gives back every text.
 
 The best path of a unigram model has the largest sum of scores. Scores of a BPE model are merge
-ranks, whose sum means nothing: there a path loses a point for each two neighbours that the merges
-of the two alone would not leave as they are. Merges only look at neighbours, so the one path
-without a loss is what merging the whole text gives, and that of a prefix is found the same way.
-
-`StreamingEncoder` keeps a window of the longest piece's length: best score and backpointer of
-the open positions. As soon as all backpointer paths from the window meet in one boundary the ids
-before it are final and are committed. Spaces are only ever at the start of a piece, so paths
-always meet before a run of them: that cuts a text into units that don't depend on each other.
-Units repeat, so a task takes its distinct ones, runs short units side by side in numpy (position
-by position, the same recurrence; for BPE merge by merge) and feeds longer ones to the search.
+ranks, whose sum means nothing: there a path may only hold neighbours that the merges of the two
+alone would leave as they are. Merges only look at neighbours, so exactly one path to each
+boundary is without a fault: it is what merging the text up to there gives.
+
+Spaces are only ever at the start of a piece, so paths always meet before a run of them: that cuts
+a text into units that don't depend on each other. All distinct units of a slice, whatever their
+length, are searched side by side, one position after the other. The search keeps a window of
+backpointers; every few positions those of all boundaries that a later piece can still begin at
+are followed back, and the ids before the boundary where they meet are final: they are committed,
+and the window goes on from there.
 """
 
 from __future__ import annotations
@@ -33,78 +33,80 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text, plain_strings, text_slices
 
 SPACE = "▁"
-# Units up to this many code points run side by side; a longer one is streamed.
-SHORT = 48
-UNITS_AT_ONCE = 20_000
-REMEMBERED = 200_000
+# Characters of units that are searched at once, padding included.
+CELLS = 1 << 21
+# Bytes of text whose units are searched together; more of them repeat in a larger slice.
+SLICE_BYTES = 8 << 20
 UNSEEN = -1e18
-HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
-NO_MERGE = np.int32(2**31 - 1)
 BPE = 2
+# Numbers of no piece: the start of a unit, a character that is written by its bytes, no path.
+START, BYTES, NONE = -1, -2, -3
+# Most pieces that may be made of the characters of those that share a rank.
+MOST_TIED = 256
+# No rank: greater than all of them.
+NEVER = np.int64(1 << 40)
+
+
+class Table:
+    """Whole numbers from 0 up to whole numbers, looked up for whole arrays (open addressing)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(int(2 * len(keys)).bit_length(), 4)
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int64)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = keys[free]
+            won = free[self.keys[slot[free]] == keys[free]]
+            self.values[slot[won]] = values[won]
+            left = np.setdiff1d(left, won, assume_unique=True)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.values[slot], -1)
+        at = np.flatnonzero((held != keys) & (held >= 0))
+        slot = slot[at]
+        while len(at):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            held = self.keys[slot]
+            hit = held == keys[at]
+            out[at[hit]] = self.values[slot[hit]]
+            on = ~hit & (held >= 0)
+            at, slot = at[on], slot[on]
+        return out
 
 
-class Merges:
-    """The merges of a BPE model: of all neighbours that join to a piece the best score, leftmost."""
-
-    def __init__(self, scores: dict[str, float]):
-        self.scores = scores
-        self.known: dict[tuple[str, str], bool] = {}
-
-    def cut(self, text: str) -> list[str]:
-        parts = list(text)
-        while len(parts) > 1:
-            joined = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-            best = max(joined)
-            if best == -np.inf:
-                break
-            at = joined.index(best)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def leave(self, left: str, right: str) -> bool:
-        """Do they leave the two as they are? Without a left one: do they make the right one?"""
-        found = self.known.get((left, right))
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = self.cut(left + right) == ([left, right] if left else [right])
-            self.known[left, right] = found
-        return found
-
-
-class Path(float):
-    """Minus the number of neighbours in a path that merges would not leave, and its last piece.
-
-    A piece is the path of itself: adding it to a path looks at the two that meet.
-    """
-
-    def __new__(cls, value: float, last: str = "", merges: Merges | None = None):
-        path = super().__new__(cls, value)
-        path.last, path.merges = last, merges
-        return path
-
-    def __add__(self, piece: Path) -> Path:
-        lost = not self.merges.leave(self.last, piece.last)
-        return Path(float(self) - lost, piece.last, self.merges)
-
-    def __radd__(self, start: float) -> Path:
-        lost = not self.merges.leave("", self.last)
-        return Path(float(start) - lost, self.last, self.merges)
-
-    def __sub__(self, before: float) -> Path:
-        return Path(float(self) - float(before), self.last, self.merges)
+def merged(text: str, ranks: dict[str, float], least: int = 1) -> list[str]:
+    """A text after its merges: of all neighbours that join, those of least rank first, leftmost of
+    equals. With `least` 2 a text that merges to one piece gives the two that made it."""
+    parts = list(text)
+    while len(parts) > least:
+        joined = [ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        best = min(joined)
+        if best == NEVER:
+            break
+        at = joined.index(best)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return parts
 
 
 @dataclass
 class Vocabulary:
-    """Pieces (with spaces for marks) with ids and scores (of BPE: paths), the ids of the 256 bytes,
-    a byte's score, the bytes each id stands for, and the merges if the model is BPE."""
+    """Pieces (with spaces for marks) with ids and scores, the ids of the 256 bytes, the bytes each
+    id stands for, and whether scores are merge ranks."""
 
     pieces: dict[str, tuple[int, float]]
     byte_ids: list[int]
-    byte_score: float
     decoded: list[bytes]
-    merges: Merges | None = None
+    bpe: bool = False
     longest: int = field(init=False)
 
     def __post_init__(self):
@@ -131,265 +133,306 @@ class Vocabulary:
         if len(set(byte_ids)) < 256:
             raise ValueError("the model has no byte pieces to fall back on")
         proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
-        if proto.trainer_spec.model_type == BPE:
-            merges = Merges({text: score for text, (_, score) in pieces.items()})
-            pieces = {text: (i, Path(0.0, text, merges)) for text, (i, _) in pieces.items()}
-            return cls(pieces, byte_ids, 0.0, decoded, merges)
-        # Dearer than any piece, so that bytes are only for what no piece covers.
-        least = min(score for _, score in pieces.values())
-        return cls(pieces, byte_ids, 10 * min(least, -1.0), decoded)
-
-    def fallback(self, char: str) -> tuple[list[int], float]:
-        """Ids and score of one character by its bytes."""
-        raw = char.encode()
-        ids = [self.byte_ids[b] for b in raw]
-        if self.merges:
-            return ids, Path(0.0, char, self.merges)
-        return ids, self.byte_score * len(raw)
-
-
-class StreamingEncoder:
-    """Feed characters, get ids as soon as they are final."""
+        return cls(pieces, byte_ids, decoded, proto.trainer_spec.model_type == BPE)
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        self.text = ""            # characters of the window
-        self.start = 0            # position of its first boundary
-        self.best = [0.0]         # per boundary from `start`: best score of a path to it
-        self.back = [(0, [])]     # per boundary: the boundary before it and the ids between
-        self.most_open = 0
-
-    def feed(self, char: str) -> list[int]:
-        """Take one character; the ids that became final, often none."""
-        v = self.v
-        self.text += char
-        end = len(self.text)
-        best, back = UNSEEN * 10, None
-        for begin in range(end - 1, max(end - v.longest, 0) - 1, -1):
-            piece = v.pieces.get(self.text[begin:end])
-            if piece and self.best[begin] + piece[1] > best:
-                best, back = self.best[begin] + piece[1], (begin, [piece[0]])
-        if self.text[end - 1] not in v.pieces:
-            ids, cost = v.fallback(char)
-            if self.best[end - 1] + cost > best:
-                best, back = self.best[end - 1] + cost, (end - 1, ids)
-        self.best.append(best)
-        self.back.append(back)
-        self.most_open = max(self.most_open, end)
-        return self._commit()
-
-    def _commit(self) -> list[int]:
-        """Follow the paths from the open boundaries; if they meet, commit what lies before."""
-        end = len(self.text)
-        open_ends = set(range(max(end - self.v.longest + 1, 0), end + 1))
-        while len(open_ends) > 1:
-            last = max(open_ends)
-            open_ends.remove(last)
-            open_ends.add(self.back[last][0])
-        meet = open_ends.pop()
-        if meet == 0:
-            return []
-        ids = self._path(meet)
-        self.text = self.text[meet:]
-        self.best = [b - self.best[meet] for b in self.best[meet:]]
-        self.back = [(0, [])] + [(p - meet, i) for p, i in self.back[meet + 1:]]
-        return ids
-
-    def _path(self, at: int) -> list[int]:
-        parts = []
-        while at > 0:
-            at, ids = self.back[at]
-            parts.append(ids)
-        return [i for ids in reversed(parts) for i in ids]
-
-    def finish(self) -> list[int]:
-        ids = self._path(len(self.text))
-        self.__init__(self.v)
-        return ids
+    @property
+    def byte_score(self) -> float:
+        """Of a byte; dearer than any piece, so that bytes are only for what no piece covers."""
+        return 10 * min(min((score for _, score in self.pieces.values()), default=-1.0), -1.0)
 
 
 class Encoder:
-    """Encodes many texts; remembers the ids of frequent units."""
+    """Searches many units at once.
+
+    Pieces are numbered: characters first, then by falling score, so that of two merged pieces the
+    one with the smaller number was made first. `ids` are -1 for characters that are no pieces.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        words = list(vocabulary.pieces)
-        keys = self._hash(words)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        if len(np.unique(keys)) != len(keys):
-            raise ValueError("two pieces share a hash")
-        self.ids = np.array([vocabulary.pieces[w][0] for w in words], np.int64)[order]
-        self.scores = np.array([vocabulary.pieces[w][1] for w in words], float)[order]
-        if vocabulary.merges:
-            self._index_merges(vocabulary.merges)
-
-    def _index_merges(self, merges: Merges) -> None:
-        """Number the characters and pieces; per two that join, what they make and its rank."""
-        symbols = sorted(set(merges.scores).union(*merges.scores))
+        pieces = vocabulary.pieces
+        self.byte_score = vocabulary.byte_score
+        chars = sorted(set("".join(pieces)))
+        merges = sorted((t for t in pieces if len(t) > 1), key=lambda t: (-pieces[t][1], t))
+        symbols = chars + merges
         number = {text: k for k, text in enumerate(symbols)}
-        self.symbol_ids = np.array([self.v.pieces.get(s, (-1,))[0] for s in symbols], np.int64)
-        chars = [s for s in symbols if len(s) == 1]
-        self.chars = np.array([ord(c) for c in chars], np.int64)
-        self.char_symbols = np.array([number[c] for c in chars], np.int64)
-        self.symbols = np.int64(len(symbols))
-        ranks = np.unique([-x for x in merges.scores.values()], return_inverse=True)[1]
-        pairs = sorted(
-            (number[text[:at]] * len(symbols) + number[text[at:]], number[text], rank)
-            for text, rank in zip(merges.scores, ranks.tolist())
-            for at in range(1, len(text)) if text[:at] in number and text[at:] in number
-        )
-        keys, made, rank = zip(*pairs) if pairs else ((-1,), (-1,), (NO_MERGE,))
-        self.pairs, self.made = np.array(keys, np.int64), np.array(made, np.int64)
-        self.ranks = np.array(rank, np.int32)
-
-    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of the merge of two symbols each and what it makes."""
-        key = np.where((left >= 0) & (right >= 0), left * self.symbols + right, -2)
-        place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        found = self.pairs[place] == key
-        return np.where(found, self.ranks[place], NO_MERGE), np.where(found, self.made[place], -1)
-
-    def _merged(self, units: list[str]) -> list[list[int]]:
-        """The merges of short units at once: one merge of each unit per step."""
-        n, width = len(units), max(map(len, units))
-        points = self._points(units, width).astype(np.int64)
-        # Column `width` ends every row: no symbol, so nothing merges with it.
-        symbol = np.full((n, width + 1), -1, np.int64)
-        place = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
-        symbol[:, :width] = np.where(self.chars[place] == points, self.char_symbols[place], -1)
-        begins = np.zeros((n, width + 1), bool)
-        begins[:, :width] = points > 0
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
-        rank, made = np.full((n, width + 1), NO_MERGE), np.full((n, width + 1), -1, np.int64)
-        rank[:, :width], made[:, :width] = self._joined(symbol[:, :-1], symbol[:, 1:])
-        rows = np.arange(n)
-        while len(rows):
-            at = rank[rows].argmin(axis=1)
-            going = rank[rows, at] < NO_MERGE
-            rows, at = rows[going], at[going]
-            gone = after[rows, at]
-            then = after[rows, gone]
-            symbol[rows, at], begins[rows, gone] = made[rows, at], False
-            rank[rows, gone] = NO_MERGE
-            after[rows, at], before[rows, then] = then, at
-            rank[rows, at], made[rows, at] = self._joined(symbol[rows, at], symbol[rows, then])
-            some = before[rows, at] >= 0
-            row, right = rows[some], at[some]
-            left = before[row, right]
-            rank[row, left], made[row, left] = self._joined(symbol[row, left], symbol[row, right])
-        row, at = np.nonzero(begins)
-        ids = np.where(symbol[row, at] >= 0, self.symbol_ids[symbol[row, at]], -1)
-        ends = np.cumsum(begins.sum(axis=1)).tolist()
-        flat, out = ids.tolist(), []
-        for start, end in zip([0, *ends], ends):
-            out.append(flat[start:end])
-        for k in np.flatnonzero(ids < 0)[::-1].tolist():
-            r, raw = row[k], self.v.fallback(units[row[k]][at[k]])[0]
-            inside = k - (ends[r - 1] if r else 0)
-            out[r][inside:inside + 1] = raw
+        self.size = len(symbols)
+        self.ids = np.array([pieces.get(t, (-1,))[0] for t in symbols], np.int64)
+        self.scores = np.array([pieces.get(t, (0, UNSEEN))[1] for t in symbols], float)
+        self.alphabet = np.array([ord(c) for c in chars], np.int64)
+        usable = np.array([t in pieces for t in symbols], bool)
+        if vocabulary.bpe:
+            usable[:len(chars)] = True
+            self._index_merges(symbols, number, len(chars), usable)
+        self._index_prefixes([t if keep else None for t, keep in zip(symbols, usable)])
+
+    def _index_merges(self, symbols, number, n_chars: int, usable: np.ndarray) -> None:
+        """For each two neighbours the piece they make; for each piece the two that make it.
+
+        A piece that merging its own text does not give is never in a path. The others have to be
+        of a later rank than their parts, as they are where merges were learnt one after another.
+        """
+        pairs, made = [], []
+        ranked = {t: -self.scores[k] for t, k in number.items() if k >= n_chars}
+        self.left, self.right = np.arange(self.size), np.arange(self.size)
+        for k in range(n_chars, self.size):
+            text = symbols[k]
+            for at in range(1, len(text)):
+                if text[:at] in number and text[at:] in number:
+                    pairs.append(number[text[:at]] * self.size + number[text[at:]])
+                    made.append(k)
+            parts = merged(text, ranked, 2)
+            usable[k] = len(parts) == 2
+            if usable[k]:
+                self.left[k], self.right[k] = number[parts[0]], number[parts[1]]
+                if max(self.left[k], self.right[k]) >= k:
+                    raise ValueError(f"the model ranks {text!r} before its parts")
+        self.joined = Table(np.array(pairs, np.int64), np.array(made, np.int64))
+        # Pieces that share a rank (runs of spaces do) are merged by place: what is made of their
+        # characters alone is looked up, each pair tried once.
+        worst = max(ranked.values(), default=0)
+        alike = [t for t, rank in ranked.items() if rank == worst]
+        if len(set(ranked.values())) != len(ranked) - len(alike) + bool(alike):
+            raise ValueError("pieces before the last rank share one")
+        letters = set("".join(alike)) if len(alike) > 1 else set()
+        tied = [k for k, t in enumerate(symbols) if usable[k] and set(t) <= letters]
+        if len(tied) > MOST_TIED:
+            raise ValueError(f"{len(tied)} pieces share a rank")
+        self.tied = np.zeros(self.size + 1, bool)
+        self.tied[tied] = True
+        keys, apart = [], []
+        for a in tied:
+            for b in tied:
+                keys.append(a * self.size + b)
+                apart.append(merged(symbols[a] + symbols[b], ranked) == [symbols[a], symbols[b]])
+        self.tied_apart = Table(np.array(keys, np.int64), np.array(apart, np.int64))
+
+    def _index_prefixes(self, symbols: list[str | None]) -> None:
+        """Prefixes of pieces as states: (state, character) to state, and the piece a state is."""
+        states, steps, ends = {"": 0}, [], {}
+        place = {int(p): k for k, p in enumerate(self.alphabet)}
+        for k, text in enumerate(symbols):
+            for end in range(1, len(text or "") + 1):
+                if text[:end] not in states:
+                    states[text[:end]] = len(states)
+                    steps.append((states[text[:end - 1]] * len(place) + place[ord(text[end - 1])],
+                                  states[text[:end]]))
+            if text:
+                ends[states[text]] = k
+        keys, values = zip(*steps) if steps else ((), ())
+        self.step = Table(np.array(keys, np.int64), np.array(values, np.int64))
+        self.piece = np.full(len(states), -1, np.int64)
+        self.piece[list(ends)] = list(ends.values())
+
+    def left_alone(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging the text of two pieces gives those two again.
+
+        Merges are undone from the last one back. As long as the neighbours at the seam were not
+        to be merged before the piece that is undone was made, the seam holds. Of two merges of
+        one rank the left one comes first.
+        """
+        out = np.ones(len(left), bool)
+        at = np.flatnonzero((left >= 0) & (right >= 0))
+        tied = at[self.tied[left[at]] & self.tied[right[at]]]
+        out[tied] = self.tied_apart.get(left[tied] * self.size + right[tied]) > 0
+        at = at[~(self.tied[left[at]] & self.tied[right[at]])]
+        left, right = left[at], right[at]
+        limit = np.full(len(at), NEVER)
+        while len(at):
+            made = self.joined.get(left * self.size + right)
+            broken = (made >= 0) & (made < limit)
+            out[at[broken]] = False
+            # The younger of the two is undone; a character cannot be, then the other one is.
+            undo_left = left > right
+            undo_left = np.where(undo_left, self.right[left] != left, self.left[right] == right)
+            whole = (self.right[left] == left) & (self.left[right] == right)
+            limit = np.where(undo_left, left, right + 1)
+            left, right = np.where(undo_left, self.right[left], left), np.where(undo_left, right, self.left[right])
+            on = ~broken & ~whole
+            at, left, right, limit = at[on], left[on], right[on], limit[on]
         return out
 
-    @staticmethod
-    def _points(texts: list[str], width: int) -> np.ndarray:
-        return np.array(texts, dtype=f"<U{width}").view(np.uint32).reshape(len(texts), width)
-
-    def _hash(self, texts: list[str]) -> np.ndarray:
-        width = max(map(len, texts), default=1)
-        points, sums = self._points(texts, width), np.zeros(len(texts), np.uint64)
-        for column in points.T:
-            grown = sums * HASH_BASE + column.astype(np.uint64) + np.uint64(1)
-            sums = np.where(column > 0, grown, sums)
-        return sums
-
-    def _side_by_side(self, units: list[str]) -> list[list[int]]:
-        """The same search for short units at once: one step per position, all units in each."""
-        width = max(map(len, units))
-        points = self._points(units, width).astype(np.uint64)
-        n, longest = len(units), self.v.longest
-        best = np.full((n, width + 1), UNSEEN)
-        best[:, 0] = 0
-        back = np.zeros((n, width + 1), np.int16)
-        chosen = np.full((n, width + 1), -1, np.int64)
-        bare = np.zeros((n, width + 1), bool)
-        for begin in range(width):
-            alive = np.flatnonzero(points[:, begin] > 0)
-            sums = np.zeros(len(alive), np.uint64)
-            for end in range(begin + 1, min(begin + longest, width) + 1):
-                inside = points[alive, end - 1] > 0
-                alive, sums = alive[inside], sums[inside]
-                if not len(alive):
-                    break
-                sums = sums * HASH_BASE + points[alive, end - 1] + np.uint64(1)
-                place = np.minimum(np.searchsorted(self.keys, sums), len(self.keys) - 1)
-                known = self.keys[place] == sums
-                if end == begin + 1:
-                    bare[alive, end] = ~known
-                rows, at = alive[known], place[known]
-                total = best[rows, begin] + self.scores[at]
-                # Later beginnings are shorter last pieces and win ties.
-                better = total >= best[rows, end]
-                rows = rows[better]
-                best[rows, end], back[rows, end] = total[better], begin
-                chosen[rows, end] = self.ids[at[better]]
-            # A character that is no piece by itself can always be written by its bytes.
-            rows = np.flatnonzero(bare[:, begin + 1])
-            if len(rows):
-                size = self._utf8_length(points[rows, begin])
-                total = best[rows, begin] + self.v.byte_score * size
-                better = total > best[rows, begin + 1]
-                rows = rows[better]
-                best[rows, begin + 1], back[rows, begin + 1] = total[better], begin
-                chosen[rows, begin + 1] = -1
-        return self._traced(units, back, chosen)
+    def search(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(ids of all units in order, ids per unit, widest window), units not empty and in order of
+        their lengths, which share an array of characters."""
+        lengths = np.array([len(u) for u in units])
+        width, longest = int(lengths.max()), self.v.longest
+        points = np.zeros((len(units), width), np.int64)
+        inside = np.arange(width)[None, :] < lengths[:, None]
+        points[inside] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        place = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
+        char = np.where(self.alphabet[place] == points, place, -1)
+        start = np.zeros(len(units), np.int64)     # boundary up to which ids are committed
+        low, widest = 0, 0                         # first boundary of the window
+        last = np.full((len(units), 1), START)     # per boundary of the window: its last piece,
+        back = np.zeros((len(units), 1), np.int64) # that piece's length, the best score
+        best = np.zeros((len(units), 1))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        stride = 2 * longest
+        for block in range(0, width, stride):
+            # Room for the boundaries that pieces beginning in this block can reach.
+            high = min(block + stride, width)
+            more = high + longest - low + 1 - last.shape[1]
+            last = np.pad(last, ((0, 0), (0, more)), constant_values=NONE)
+            back = np.pad(back, ((0, 0), (0, more)))
+            best = np.pad(best, ((0, 0), (0, more)), constant_values=UNSEEN)
+            widest = max(widest, last.shape[1])
+            for begin in range(block, high):
+                self._extend(begin, begin - low, lengths, points, char, last, back, best)
+            done = (lengths > block) & (lengths <= high)
+            self._trace(np.flatnonzero(done), lengths[done], start, low, last, back, found)
+            rows = np.flatnonzero(lengths > high)
+            if not len(rows):
+                break
+            meet = self._meeting(rows, high, start, low, back)
+            self._trace(rows, meet, start, low, last, back, found)
+            start[rows] = meet
+            first = int(meet.min())
+            last, back, best = (part[:, first - low:] for part in (last, back, best))
+            low = first
+        row, end, number = (np.concatenate(part) for part in zip(*found))
+        order = np.lexsort((end, row))
+        row, end, number = row[order], end[order], number[order]
+        return *self._as_ids(row, number, points[row, end - 1], len(units)), widest
+
+    def _extend(self, begin: int, here: int, lengths, points, char, last, back, best) -> None:
+        """All pieces that begin at a boundary (column `here` of the window), letter by letter."""
+        from_row = int(np.searchsorted(lengths, begin, side="right"))
+        rows = np.arange(from_row, len(lengths))
+        state = np.zeros(len(rows), np.int64)
+        for size in range(1, self.v.longest + 1):
+            if size > 1:
+                on = lengths[rows] >= begin + size
+                rows, state = rows[on], state[on]
+            if not len(rows):
+                return
+            letter = char[rows, begin + size - 1]
+            state = np.where(letter >= 0, self.step.get(state * len(self.alphabet) + np.maximum(letter, 0)), -1)
+            piece = np.where(state >= 0, self.piece[state], -1)
+            if size == 1:
+                # A character that is no piece by itself can always be written by its bytes.
+                bare = rows[piece < 0]
+                cost = self.byte_score * _utf8_length(points[bare, begin])
+                self._arrive(bare, np.full(len(bare), BYTES), cost, here, 1, last, back, best)
+            known = piece >= 0
+            self._arrive(rows[known], piece[known], self.scores[piece[known]], here, size, last, back, best)
+            on = state >= 0
+            rows, state = rows[on], state[on]
+
+    def _arrive(self, rows, piece, score, here: int, size: int, last, back, best) -> None:
+        """Paths to a boundary by one more piece, kept where they are the best so far."""
+        if self.v.bpe:
+            keep = self.left_alone(last[rows, here], piece)
+            rows, piece = rows[keep], piece[keep]
+        else:
+            total = best[rows, here] + score
+            # Later beginnings are shorter last pieces and win ties.
+            keep = total >= best[rows, here + size]
+            rows, piece = rows[keep], piece[keep]
+            best[rows, here + size] = total[keep]
+        last[rows, here + size], back[rows, here + size] = piece, size
 
     @staticmethod
-    def _utf8_length(points: np.ndarray) -> np.ndarray:
-        return 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
-
-    def _traced(self, units, back, chosen) -> list[list[int]]:
-        at = np.array([len(u) for u in units])
-        rows, out = np.arange(len(units)), [[] for _ in units]
+    def _trace(rows, ends, start, low: int, last, back, found) -> None:
+        """Follow paths from `ends` to the committed boundaries; adds (unit, end, piece)."""
+        at = ends.copy()
         while len(rows):
-            for row, end, piece in zip(rows.tolist(), at.tolist(), chosen[rows, at].tolist()):
-                if piece >= 0:
-                    out[row].append(piece)
-                else:
-                    out[row] += self.v.fallback(units[row][end - 1])[0][::-1]
-            at = back[rows, at]
-            rows, at = rows[at > 0], at[at > 0]
-        return [ids[::-1] for ids in out]
-
-    def _streamed(self, unit: str) -> list[int]:
-        search, ids = StreamingEncoder(self.v), []
-        for char in unit:
-            ids += search.feed(char)
-        return ids + search.finish()
-
-    def unit_ids(self, units: list[str]) -> list[list[int]]:
-        """Ids of units, each a run of space marks and what follows up to the next."""
-        out: list[list[int]] = [[] for _ in units]
-        # Code point 0 pads the side-by-side search, so a unit with one is streamed.
-        short = [k for k, u in enumerate(units) if 0 < len(u) <= SHORT and "\0" not in u]
-        short.sort(key=lambda k: len(units[k]))
-        together = self._merged if self.v.merges else self._side_by_side
-        for at in range(0, len(short), UNITS_AT_ONCE):
-            some = short[at:at + UNITS_AT_ONCE]
-            for k, ids in zip(some, together([units[k] for k in some])):
-                out[k] = ids
-        for k in set(range(len(units))).difference(short):
-            out[k] = self._streamed(units[k])
-        return out
+            on = at > start[rows]
+            rows, at = rows[on], at[on]
+            found.append((rows, at, last[rows, at - low]))
+            at = at - back[rows, at - low]
+
+    def _meeting(self, rows, high: int, start, low: int, back) -> np.ndarray:
+        """Per unit the last boundary that the paths to all open boundaries share."""
+        open_ends = high - np.arange(self.v.longest)
+        at = np.maximum(np.broadcast_to(open_ends, (len(rows), len(open_ends))), start[rows][:, None]).copy()
+        left = np.arange(len(rows))
+        while len(left):
+            top = at[left].max(axis=1)
+            apart = at[left].min(axis=1) < top
+            left, top = left[apart], top[apart]
+            before = top - back[rows[left], top - low]
+            at[left] = np.where(at[left] == top[:, None], before[:, None], at[left])
+        return at[:, 0]
+
+    def _as_ids(self, row, number, point, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in order and how many each unit has, with bytes for what is no piece."""
+        ids = np.where(number >= 0, self.ids[np.maximum(number, 0)], -1)
+        bare = ids < 0
+        size = np.where(bare, _utf8_length(point), 1)
+        flat = np.repeat(ids, size)
+        if bare.any():
+            raw = np.frombuffer("".join(map(chr, point[bare])).encode("utf-8", "surrogatepass"), np.uint8)
+            flat[np.repeat(bare, size)] = np.array(self.v.byte_ids, np.int64)[raw]
+        return flat, np.bincount(row, weights=size, minlength=n).astype(np.int64)
+
+    def unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units in order, ids per unit); units are runs of spaces and what follows up to
+        the next, and not empty."""
+        sizes = np.array([len(u) for u in units], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        counts, parts, at = np.zeros(len(units), np.int64), [], 0
+        while at < len(units):
+            # As many as fill the cells, at least one; sorted, so the last is the longest.
+            room = np.arange(1, len(units) - at + 1) * sizes[order[at:]] <= CELLS
+            end = at + max(int(room.sum()), 1)
+            some = order[at:end]
+            flat, counts[some], _ = self.search([units[k] for k in some])
+            parts.append(flat)
+            at = end
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        sorted_counts = counts[order]
+        starts = np.zeros(len(units), np.int64)
+        starts[order] = np.cumsum(sorted_counts) - sorted_counts
+        return _gathered(flat, starts, counts), counts
+
+
+def _utf8_length(points: np.ndarray) -> np.ndarray:
+    return 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs flat[start:start + size] one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+class Decoder:
+    """The bytes of ids, gathered for whole arrays."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.bytes = np.frombuffer(b"".join(vocabulary.decoded), np.uint8)
+        self.size = np.array([len(b) for b in vocabulary.decoded], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def texts(self, lists: pa.Array) -> pa.Array:
+        """The texts of lists of ids: their bytes as UTF-8, without the leading space; of nulls empty.
+
+        Bytes that are no UTF-8 (ids that no text gives) become U+FFFD.
+        """
+        lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        ids = values[offsets[0]:offsets[-1]]
+        raw = _gathered(self.bytes, self.start[ids], self.size[ids])
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])])[offsets - offsets[0]]
+        # The leading space goes.
+        begins, size = ends[:-1], np.diff(ends)
+        lead = size > 0
+        lead[lead] = raw[begins[lead]] == 32
+        raw, size = _gathered(raw, begins + lead, size - lead), size - lead
+        edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        whole = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(size), [None, pa.py_buffer(edges), pa.py_buffer(raw.tobytes())]
+        )
+        try:
+            return whole.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.large_string())
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
-    """The text of ids: the bytes they stand for as UTF-8, without the leading space.
-
-    Bytes that are no UTF-8 (ids that no text gives) become U+FFFD.
-    """
-    raw = b"".join(map(vocabulary.decoded.__getitem__, ids))
-    return raw.decode("utf-8", "replace").removeprefix(" ")
+    """The text of some ids."""
+    return Decoder(vocabulary).texts(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
 
 
 def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -416,22 +459,13 @@ def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.concat_arrays([plain, others]), counts, np.concatenate([even, rest])
 
 
-def _encode_slice(column: pa.Array, encoder: Encoder, known: dict[str, list[int]]) -> pa.Array:
-    texts = plain_strings(column)
-    units, counts, order = _units(texts)
+def _encode_slice(column: pa.Array, encoder: Encoder) -> pa.Array:
+    units, counts, order = _units(plain_strings(column))
     coded = units.dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    new = [u for u in distinct if u not in known]
-    fresh = dict(zip(new, encoder.unit_ids(new)))
-    ids = [known[u] if u in known else fresh[u] for u in distinct]
-    if len(known) < REMEMBERED:
-        known |= fresh
-    size = np.array([len(i) for i in ids], np.int64)
-    flat = np.fromiter((i for some in ids for i in some), np.int32, size.sum())
+    flat, size = encoder.unit_ids(coded.dictionary.to_pylist())
     code = coded.indices.to_numpy()
-    lengths, starts = size[code], (np.cumsum(size) - size)[code]
-    before = np.cumsum(lengths) - lengths
-    gathered = flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+    lengths = size[code]
+    gathered = _gathered(flat.astype(np.int32), (np.cumsum(size) - size)[code], lengths)
     ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(gathered))
     return lists.take(pa.array(np.argsort(order)))
@@ -440,31 +474,35 @@ def _encode_slice(column: pa.Array, encoder: Encoder, known: dict[str, list[int]
 def encode(
     docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, ids) of every row's whole text; null and empty texts have no ids."""
+    """(doc_id, ids) of every row's whole text; null and empty texts have no ids.
+
+    Repeated rows and null ids stay, other columns don't matter, and an empty table gives no rows.
+    """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, known = Encoder(vocabulary.value), {}
-        for part in text_slices(batches):
-            ids = _encode_slice(part.column(1), encoder, known)
-            yield pa.record_batch([part.column(0), ids], ["doc_id", "ids"])
+        encoder = None
+        for part in text_slices(batches, limit=SLICE_BYTES):
+            encoder = encoder or Encoder(vocabulary.value)
+            yield pa.record_batch([part.column(0), _encode_slice(part.column(1), encoder)], ["doc_id", "ids"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def decoded(encoded: DataFrame, model_file: str) -> DataFrame:
-    """(doc_id, ids, text): the texts of encoded rows; null ids give an empty text."""
+    """(doc_id, ids, text): the texts of encoded rows; null ids give an empty text.
+
+    Repeated rows and null ids stay, and an empty table gives no rows.
+    """
     vocabulary = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(vocabulary.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [decode(ids or (), vocabulary.value) for ids in part.column(1).to_pylist()]
-                yield pa.record_batch(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())],
-                    ["doc_id", "ids", "text"],
-                )
+                texts = decoder.texts(part.column(1)).cast(pa.string())
+                yield pa.record_batch([part.column(0), part.column(1), texts], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id bigint, ids array<int>, text string"
