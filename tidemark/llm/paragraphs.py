@@ -15,8 +15,8 @@ cut alike wherever they stand. Lines shorter than a paragraph are pieces too. Pi
 repeated where their content is equal, whatever their length, and are reported where consecutive
 repeated ones make up `min_words` words or more.
 
-Words, contents and shingles are 64-bit polynomial hashes, worked out for a slice of texts at once;
-contents are counted by two of them.
+Words, contents and shingles are 64-bit polynomial hashes, worked out for a slice of texts at once.
+Those of different contents are equal for one pair in 10^19.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +44,9 @@ SEED = 3
 _RANDOM = np.random.default_rng(SEED)
 FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 OFFSETS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-# Odd bases of the polynomial hashes: bytes of a word, words of a content (two), of a shingle.
-BYTE_BASE, *CONTENT_BASES, SHINGLE_BASE = (
-    int(b) | 1 for b in _RANDOM.integers(1 << 40, 1 << 63, 4, dtype=np.uint64)
+# Odd bases of the polynomial hashes: bytes of a word, words of a content, of a shingle.
+BYTE_BASE, CONTENT_BASE, SHINGLE_BASE = (
+    int(b) | 1 for b in _RANDOM.integers(1 << 40, 1 << 63, 3, dtype=np.uint64)
 )
 SHINGLES_AT_ONCE = 1 << 14
 BLANKS = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
@@ -91,6 +92,7 @@ class Words:
         start = np.flatnonzero(inside & ~before)
         after = np.concatenate([inside[1:], [False]]) & ~opens[1:]
         end = np.flatnonzero(inside & ~after) + 1
+        self.raw, self.byte_start, self.byte_end = raw, start, end
         self.text = np.searchsorted(offsets, start, side="right") - 1
         point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         self.start, self.end = point[start] - point[offsets[self.text]], point[end] - point[offsets[self.text]]
@@ -159,74 +161,124 @@ def jaccard(a: str, b: str) -> float:
 
 
 UNITS = (
-    "doc_id bigint, text_key bigint, whole boolean, paragraph int, piece int, start bigint, "
-    "end bigint, n_words int, key bigint, key2 bigint, bands array<bigint>, shingles array<bigint>"
+    "doc_id bigint, text_no int, whole boolean, paragraph int, piece int, start int, end int, "
+    "n_words int, key bigint, text string"
 )
 
 
 def units(docs: DataFrame, id_col="doc_id", text_col="text", min_words=MIN_WORDS) -> DataFrame:
     """Every paragraph (`whole`) and every piece of every row: place (end exclusive) and content.
 
-    `bands` and distinct `shingles` are there for paragraphs, and null where the same content came
-    before in the slice of texts that a task works on, so that a paragraph in a third of all rows
-    is hashed and sent once a slice.
+    `text` is there for paragraphs, and null where the same content came before in the slice of
+    texts that a task works on, so that a paragraph in a third of all rows is sent once a slice.
+    `text_no` tells texts apart whose rows share an id.
     """
     names = [f.split()[0] for f in UNITS.split(", ")]
 
-    def rows(words: Words, first, end, text_keys, doc_ids, whole: bool, places) -> list[pa.Array]:
-        keys = [run_hashes(words.hash, first, end, b).view(np.int64) for b in CONTENT_BASES]
+    def rows(words: Words, first, end, numbers, doc_ids, whole: bool, places, texts) -> pa.RecordBatch:
         text = words.text[first]
-        bands = shingles = pa.nulls(len(first), pa.list_(pa.int64()))
-        if whole and len(first):
-            new = np.zeros(len(first), bool)
-            new[np.unique(np.stack(keys, axis=1), axis=0, return_index=True)[1]] = True
-            hashes, edges = shingle_hashes(words.hash, first[new], end[new])
-            at = np.cumsum(new) - 1
-            found = band_hashes(hashes, edges)
-            bands = pa.array([found[k] if fresh else None for k, fresh in zip(at, new)], pa.list_(pa.int64()))
-            shingles = pa.array([
-                np.unique(hashes[edges[k]:edges[k + 1]]).view(np.int64) if fresh else None
-                for k, fresh in zip(at, new)
-            ], pa.list_(pa.int64()))
-        return [
-            doc_ids.take(pa.array(text)), pa.array(text_keys[text]), pa.array(np.full(len(first), whole)),
+        return pa.RecordBatch.from_arrays([
+            doc_ids.take(pa.array(text)), pa.array(numbers[text]), pa.array(np.full(len(first), whole)),
             pa.array(words.line[first], pa.int32()), pa.array(places, pa.int32()),
-            pa.array(words.start[first], pa.int64()), pa.array(words.end[end - 1], pa.int64()),
-            pa.array(end - first, pa.int32()), pa.array(keys[0]), pa.array(keys[1]), bands, shingles,
-        ]
+            pa.array(words.start[first], pa.int32()), pa.array(words.end[end - 1], pa.int32()),
+            pa.array(end - first, pa.int32()), pa.array(content_keys(words, first, end)), texts,
+        ], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            words = Words(plain_strings(part.column(1)))
+            texts = plain_strings(part.column(1))
+            words = Words(texts)
             if not len(words.hash):
                 continue
             edges = np.searchsorted(words.text, np.arange(part.num_rows + 1))
-            text_keys = run_hashes(words.hash, edges[:-1], edges[1:], CONTENT_BASES[0]).view(np.int64)
+            numbers = run_hashes(words.hash, edges[:-1], edges[1:], CONTENT_BASE).astype(np.int32)
             first, end = words.pieces(min_words)
             # Number of the piece in its text.
             number = np.arange(len(first)) - np.searchsorted(words.text[first], words.text[first])
-            yield pa.RecordBatch.from_arrays(
-                rows(words, first, end, text_keys, part.column(0), False, number), names
+            yield rows(
+                words, first, end, numbers, part.column(0), False, number, pa.nulls(len(first), pa.string())
             )
             long = words.line_end - words.line_first >= min_words
             first, end = words.line_first[long], words.line_end[long]
-            if len(first):
-                yield pa.RecordBatch.from_arrays(
-                    rows(words, first, end, text_keys, part.column(0), True, np.full(len(first), -1)), names
-                )
+            if not len(first):
+                continue
+            new = np.zeros(len(first), bool)
+            new[np.unique(content_keys(words, first, end), return_index=True)[1]] = True
+            raw = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(first), [None, *_spans(words, first, end)]
+            )
+            body = pc.if_else(pa.array(new), raw.cast(pa.large_string()), pa.scalar(None, pa.large_string()))
+            yield rows(
+                words, first, end, numbers, part.column(0), True, np.full(len(first), -1),
+                body.cast(pa.string()),
+            )
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, UNITS)
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose shingle sets are similar enough."""
-    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").select(
-        "a", "b", (F.size("x") + F.size("y")).alias("sizes"),
-        F.size(F.array_intersect("x", "y")).alias("shared"),
-    )
-    return both.where(F.col("shared") >= similarity * (F.col("sizes") - F.col("shared"))).select("a", "b")
+def content_keys(words: Words, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return run_hashes(words.hash, first, end, CONTENT_BASE).view(np.int64)
+
+
+def _spans(words: Words, first: np.ndarray, end: np.ndarray) -> tuple[pa.Buffer, pa.Buffer]:
+    """Offsets and bytes of runs of words with what stands between them."""
+    begins, size = words.byte_start[first], words.byte_end[end - 1] - words.byte_start[first]
+    edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    at = np.repeat(begins - edges[:-1], size) + np.arange(edges[-1])
+    return pa.py_buffer(edges), pa.py_buffer(words.raw[at].tobytes())
+
+
+def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, edges): the distinct shingles of each paragraph, in order."""
+    words = Words(plain_strings(texts))
+    edges = np.searchsorted(words.text, np.arange(len(texts) + 1))
+    hashes, of = shingle_hashes(words.hash, edges[:-1], edges[1:])
+    run = np.repeat(np.arange(len(texts)), np.diff(of))
+    order = np.lexsort((hashes, run))
+    hashes, run = hashes[order], run[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (np.diff(run) != 0) | (hashes[1:] != hashes[:-1])
+    return hashes[new], np.searchsorted(run[new], np.arange(len(texts) + 1))
+
+
+def _bands(known: DataFrame) -> DataFrame:
+    """(key, band): every band of every content."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            if part.num_rows:
+                bands = band_hashes(*shingle_sets(part.column(1)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(bands.ravel())
+                ], ["key", "band"])
+
+    return known.select("key", "text").mapInArrow(run, "key bigint, band bigint")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose texts are similar enough."""
+    a = texts.select(F.col("key").alias("a"), F.col("text").alias("x"))
+    b = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, column=2):
+            n = part.num_rows
+            if not n:
+                continue
+            hashes, run_of, size = [], [], []
+            for column in (2, 3):
+                found, edges = shingle_sets(part.column(column))
+                hashes.append(found)
+                run_of.append(np.repeat(np.arange(n), np.diff(edges)))
+                size.append(np.diff(edges))
+            both, of = np.concatenate(hashes), np.concatenate(run_of)
+            order = np.lexsort((both, of))
+            twice = (both[order][1:] == both[order][:-1]) & (of[order][1:] == of[order][:-1])
+            shared = np.bincount(of[order][1:][twice], minlength=n)
+            near = pa.array(shared >= similarity * (size[0] + size[1] - shared))
+            yield pa.RecordBatch.from_arrays([part.column(k).filter(near) for k in (0, 1)], ["a", "b"])
+
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def _pair(x: Column, y: Column) -> list[Column]:
@@ -247,21 +299,23 @@ def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_across(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _links_across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """(a, b): links between components among the members of each band, in pairs of blocks.
 
     `rest` is (band, key, component). A pair of contents that meets in several bands is looked at
     in each; what comes out are links only.
     """
-    sized = rest.join(rest.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "band")
+    sized = rest.join(rest.groupBy("band").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    ), "band")
     own = F.pmod(F.xxhash64("key", F.lit(SEED)), F.col("blocks")).cast("int")
     placed = sized.withColumn("own", own).select(
         "band", "key", "component", "own",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).join(sets, "key")
-    packed = placed.groupBy("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).agg(
-        F.collect_list(F.struct("own", "key", "component", "shingles")).alias("members")
-    )
+    ).join(texts, "key")
+    packed = placed.groupBy(
+        "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    ).agg(F.collect_list(F.struct("own", "key", "component", "text")).alias("members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,8 +324,7 @@ def _links_across(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFr
                 own, key, component = (
                     members.field(c).to_numpy(zero_copy_only=False) for c in ("own", "key", "component")
                 )
-                lists = members.field("shingles")
-                edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+                flat, edges = shingle_sets(members.field("text"))
                 low, high = batch.column("low")[row].as_py(), batch.column("high")[row].as_py()
                 x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
                 if not len(x) or not len(y):
@@ -292,22 +345,24 @@ def _links_across(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFr
 def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b), keys of contents, with enough links between them to connect all that are similar.
 
-    `every` has (key, bands, shingles) as `units` gives them.
+    `every` has (key, text) as `units` gives them. Bands are worked out twice, once to count them
+    and once for those that occur more often, instead of being stored.
     """
-    known = every.where("bands is not null")
-    met = known.select("key", F.explode("bands").alias("band"))
+    known = every.where("text IS NOT NULL").select("key", "text")
+    often = _bands(known).groupBy("band").count().where("count > 1").select("band")
+    met = store(_bands(known).join(often, "band").distinct(), "bands")
     drawn = met.groupBy("band").agg(
         F.min("key").alias("low"), F.max("key").alias("high"),
         *[F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"drawn{k}") for k in range(DRAWN)],
     ).where("low <> high")
     drawn = drawn.select("band", F.array(*[f"drawn{k}" for k in range(DRAWN)]).alias("drawn"))
-    shared = store(met.join(drawn, "band").distinct(), "bands")
-    sets = known.select("key", "shingles").join(shared.select("key").distinct(), "key", "left_semi")
-    sets = store(sets.groupBy("key").agg(F.first("shingles").alias("shingles")), "shingle-sets")
+    shared = store(met.join(drawn, "band"), "shared-bands")
+    texts = known.join(shared.select("key").distinct(), "key", "left_semi")
+    texts = store(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
     stars = shared.select("key", F.explode("drawn").alias("other")).where(
         F.col("key") != F.col("other")
     ).select(*_pair(F.col("key"), F.col("other"))).distinct()
-    near = store(_similar(stars, sets, similarity), "near-paragraphs")
+    near = store(_similar(stars, texts, similarity), "near-paragraphs")
     found = connected_components(near)
     placed = shared.select("band", "key").join(
         found, shared["key"] == found["node"], "left"
@@ -316,30 +371,22 @@ def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high").select("band")
     rest = store(placed.join(apart, "band"), "apart")
-    return near.union(_links_across(rest, sets, similarity))
+    return near.union(_links_across(rest, texts, similarity))
 
 
 def _rooted(every: DataFrame, similarity: float) -> DataFrame:
-    """(whole, key, key2, occurrences, head): contents of units that occur again, exactly or nearly.
+    """(whole, key, root): contents that occur again, exactly or nearly; `root` names the cluster.
 
-    `head` is the first occurrence by id, then place; of near copies, the first of the cluster.
+    A piece is its own root; the root of a paragraph is the least key of its component.
     """
-    where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
-    contents = store(every.groupBy("whole", "key", "key2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(where).alias("first"),
-    ), "contents")
-    pieces = contents.where("NOT whole AND n > 1").select(
-        "whole", "key", "key2", F.col("n").alias("occurrences"), F.col("first").alias("head")
-    )
+    counts = every.groupBy("whole", "key").agg(F.count(F.lit(1)).alias("n"))
+    pieces = counts.where("NOT whole AND n > 1").select("whole", "key", F.col("key").alias("root"))
     joined = connected_components(links(every, similarity))
-    rooted = contents.where("whole").join(joined, F.col("key") == joined["node"], "left").select(
-        "whole", "key", "key2", "n", "first", F.coalesce("component", "key").alias("root")
-    )
-    clusters = rooted.groupBy("root").agg(
-        F.sum("n").alias("occurrences"), F.min("first").alias("head")
-    ).where("occurrences > 1")
-    paragraphs = rooted.join(clusters, "root").select("whole", "key", "key2", "occurrences", "head")
-    return paragraphs.unionByName(pieces)
+    rooted = store(counts.where("whole").join(joined, F.col("key") == joined["node"], "left").select(
+        "whole", "key", "n", F.coalesce("component", "key").alias("root")
+    ), "paragraph-roots")
+    clusters = rooted.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    return rooted.join(clusters, "root", "left_semi").select("whole", "key", "root").unionByName(pieces)
 
 
 def repeated_paragraphs(
@@ -356,22 +403,29 @@ def repeated_paragraphs(
     included, repeat their paragraphs. An empty table gives no rows.
     """
     every = store(units(docs, id_col, text_col, min_words), "units", "zstd")
-    found = every.drop("bands", "shingles").join(_rooted(every, similarity), ["whole", "key", "key2"])
-    found = store(found.drop("key", "key2"), "repeated-units")
+    found = every.drop("text").join(_rooted(every, similarity), ["whole", "key"])
+    found = store(found.drop("key"), "repeated-units", "zstd")
+    where = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
+    heads = found.groupBy("whole", "root").agg(
+        F.count(F.lit(1)).alias("occurrences"), F.min(where).alias("head")
+    )
     # Runs of consecutive repeated pieces of a text; rows that repeat share their numbers.
-    text = ["doc_id", "text_key"]
-    run = Window.partitionBy(*text, "whole").orderBy("piece")
-    runs = found.withColumn("run", F.col("piece") - F.dense_rank().over(run))
-    words = F.sum("n_words").over(Window.partitionBy(*text, "whole", "run"))
-    copies = F.max("copy").over(Window.partitionBy(*text, "whole", "run"))
-    runs = runs.withColumn("copy", F.row_number().over(
-        Window.partitionBy(*text, "whole", "piece", "start").orderBy("end")
-    )).withColumns({"run_words": words / copies, "in_whole": F.max("whole").over(
-        Window.partitionBy(*text, "paragraph")
-    )})
-    kept = runs.where("whole OR (run_words >= {} AND NOT in_whole)".format(int(min_words)))
+    text = ["doc_id", "text_no"]
+    order = Window.partitionBy(*text, "whole").orderBy("piece")
+    same = Window.partitionBy(*text, "whole", "piece", "start").orderBy("end")
+    run = Window.partitionBy(*text, "whole", "run")
+    runs = found.withColumns({
+        "run": F.col("piece") - F.dense_rank().over(order), "copy": F.row_number().over(same)
+    }).withColumns({
+        "run_words": F.sum("n_words").over(run) / F.max("copy").over(run),
+        "in_whole": F.max("whole").over(Window.partitionBy(*text, "paragraph")),
+    })
+    kept = runs.where(
+        F.col("whole") | ((F.col("run_words") >= min_words) & ~F.col("in_whole"))
+    ).join(heads, ["whole", "root"])
     return kept.select(
-        "doc_id", "paragraph", "start", "end", "n_words", "whole",
+        "doc_id", "paragraph", F.col("start").cast("bigint").alias("start"),
+        F.col("end").cast("bigint").alias("end"), "n_words", "whole",
         F.col("head.doc_id").alias("first_doc_id"), F.col("head.start").alias("first_start"),
         "occurrences",
         (~(
