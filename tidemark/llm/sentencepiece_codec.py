@@ -33,10 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text, plain_strings, text_slices
 
 SPACE = "▁"
-# Characters of units that are searched at once, padding included.
-CELLS = 1 << 21
-# Bytes of text whose units are searched together; more of them repeat in a larger slice.
-SLICE_BYTES = 8 << 20
+# Boundaries that are searched at once, padding and room for the longest piece included.
+CELLS = 1 << 19
 UNSEEN = -1e18
 BPE = 2
 # Numbers of no piece: the start of a unit, a character that is written by its bytes, no path.
@@ -159,7 +157,7 @@ class Encoder:
         self.size = len(symbols)
         self.ids = np.array([pieces.get(t, (-1,))[0] for t in symbols], np.int64)
         self.scores = np.array([pieces.get(t, (0, UNSEEN))[1] for t in symbols], float)
-        self.alphabet = np.array([ord(c) for c in chars], np.int64)
+        self.alphabet = np.array([ord(c) for c in chars], np.int32)
         usable = np.array([t in pieces for t in symbols], bool)
         if vocabulary.bpe:
             usable[:len(chars)] = True
@@ -257,16 +255,18 @@ class Encoder:
         their lengths, which share an array of characters."""
         lengths = np.array([len(u) for u in units])
         width, longest = int(lengths.max()), self.v.longest
-        points = np.zeros((len(units), width), np.int64)
+        points = np.zeros((len(units), width), np.int32)
         inside = np.arange(width)[None, :] < lengths[:, None]
-        points[inside] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        place = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
-        char = np.where(self.alphabet[place] == points, place, -1)
+        flat = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int32)
+        place = np.minimum(np.searchsorted(self.alphabet, flat), len(self.alphabet) - 1)
+        char = np.full((len(units), width), -1, np.int32)
+        points[inside], char[inside] = flat, np.where(self.alphabet[place] == flat, place, -1)
         start = np.zeros(len(units), np.int64)     # boundary up to which ids are committed
         low, widest = 0, 0                         # first boundary of the window
-        last = np.full((len(units), 1), START)     # per boundary of the window: its last piece,
-        back = np.zeros((len(units), 1), np.int64) # that piece's length, the best score
-        best = np.zeros((len(units), 1))
+        # Per boundary of the window: its last piece, that piece's length, the best score.
+        last = np.full((len(units), 1), START, np.int32)
+        back = np.zeros((len(units), 1), np.int32)
+        best = np.zeros((len(units), 0 if self.v.bpe else 1))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         stride = 2 * longest
         for block in range(0, width, stride):
@@ -275,7 +275,7 @@ class Encoder:
             more = high + longest - low + 1 - last.shape[1]
             last = np.pad(last, ((0, 0), (0, more)), constant_values=NONE)
             back = np.pad(back, ((0, 0), (0, more)))
-            best = np.pad(best, ((0, 0), (0, more)), constant_values=UNSEEN)
+            best = best if self.v.bpe else np.pad(best, ((0, 0), (0, more)), constant_values=UNSEEN)
             widest = max(widest, last.shape[1])
             for begin in range(block, high):
                 self._extend(begin, begin - low, lengths, points, char, last, back, best)
@@ -306,7 +306,7 @@ class Encoder:
                 rows, state = rows[on], state[on]
             if not len(rows):
                 return
-            letter = char[rows, begin + size - 1]
+            letter = char[rows, begin + size - 1].astype(np.int64)
             state = np.where(letter >= 0, self.step.get(state * len(self.alphabet) + np.maximum(letter, 0)), -1)
             piece = np.where(state >= 0, self.piece[state], -1)
             if size == 1:
@@ -322,7 +322,7 @@ class Encoder:
     def _arrive(self, rows, piece, score, here: int, size: int, last, back, best) -> None:
         """Paths to a boundary by one more piece, kept where they are the best so far."""
         if self.v.bpe:
-            keep = self.left_alone(last[rows, here], piece)
+            keep = self.left_alone(last[rows, here].astype(np.int64), piece)
             rows, piece = rows[keep], piece[keep]
         else:
             total = best[rows, here] + score
@@ -374,7 +374,7 @@ class Encoder:
         counts, parts, at = np.zeros(len(units), np.int64), [], 0
         while at < len(units):
             # As many as fill the cells, at least one; sorted, so the last is the longest.
-            room = np.arange(1, len(units) - at + 1) * sizes[order[at:]] <= CELLS
+            room = np.arange(1, len(units) - at + 1) * (sizes[order[at:]] + self.v.longest) <= CELLS
             end = at + max(int(room.sum()), 1)
             some = order[at:end]
             flat, counts[some], _ = self.search([units[k] for k in some])
@@ -482,7 +482,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for part in text_slices(batches, limit=SLICE_BYTES):
+        for part in text_slices(batches):
             encoder = encoder or Encoder(vocabulary.value)
             yield pa.record_batch([part.column(0), _encode_slice(part.column(1), encoder)], ["doc_id", "ids"])
 
