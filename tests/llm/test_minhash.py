@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import edited, words
 from tidemark.llm import minhash
@@ -68,3 +69,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert minhash.edited_fingerprints(no_docs).count() == 0
     alone = minhash.edited_fingerprints(odd_docs.where("doc_id = 7")).first()
     assert alone.near_next == 1
+
+
+def test_five_words_are_a_shingle_like_any_other(spark):
+    """One shingle, shared with its extension by a word: the true similarity is a half."""
+    rows = [(k, f"a{k} b c d e", f"a{k} b c d e f") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, x string, y string")
+    both = minhash.with_fingerprint(minhash.with_fingerprint(df, "x", "fx"), "y", "fy")
+    near = both.select(minhash.likeness(F.col("fx"), F.col("fy")).alias("n")).agg(F.avg("n")).first()[0]
+    assert 0.4 < near < 0.6

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +45,59 @@ TEMPLATES = (
     ("ISC", "Released under the ISC License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# The texts of short licence files, and the heads of long ones.
+MIT_BODY = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+    "and associated documentation files (the \"Software\"), to deal in the Software without "
+    "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+    "Software is furnished to do so, subject to the following conditions: The above copyright notice "
+    "and this permission notice shall be included in all copies or substantial portions of the "
+    "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+    "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+    "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+    "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+ISC_BODY = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+    "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+    "in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+    "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO "
+    "EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR "
+    "ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+    "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE."
+)
+WHOLE_TEXTS = (
+    ("MIT", MIT_BODY), ("MIT", "MIT License " + MIT_BODY), ("ISC", ISC_BODY),
+    ("ISC", "ISC License " + ISC_BODY),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
+# Endings that a tag may give to an identifier.
+TAG = "SPDX-License-Identifier:"
+TAG_ENDINGS = ("", "-only", "-or-later")
+TEMPLATES += WHOLE_TEXTS + tuple(
+    (name, f"{TAG} {name}{ending}") for name in sorted({name for name, _ in TEMPLATES})
+    for ending in (TAG_ENDINGS if "GPL" in name else TAG_ENDINGS[:1])
+)
 # Every template has one of these.
-NAMING = ("license", "licensed", "licence", "licenced", "permission", "domain")
+NAMING = (
+    "spdx-license-identifier", "license", "licensed", "licence", "licenced", "permission", "domain",
+)
 TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 HEADER_BAR, FILE_BAR = 0.75, 0.5
+# How notices begin that are often wrapped, over at most so many lines.
+WRAPS = (
+    "licensed under", "permission", "this work is", "this is free", "released under",
+    "general public license", "apache license", "mozilla public license", "mit license", "isc license",
+)
+WRAPPED_LINES = 24
 LICENCE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+)?$"
 
 
@@ -96,9 +146,10 @@ def file_counts(files: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 def candidate_parts(files: DataFrame) -> DataFrame:
-    """(path, part, start, end, term, tf) of the lines, and of whole files, with a naming term.
+    """(path, text_no, part, start, end, term, tf) of parts of files that have a naming term.
 
-    `part` is the number of the line, -1 for the whole file.
+    `part` is the number of the line, -1 for the whole file; a notice that is wrapped over several
+    lines has the number of its first. `text_no` tells texts of one path apart.
     """
     naming = "(?i)" + "|".join(NAMING)
 
@@ -111,24 +162,31 @@ def candidate_parts(files: DataFrame) -> DataFrame:
                 part.column(0).filter(hits).to_pylist(), texts.filter(hits).to_pylist()
             ):
                 pieces = [(-1, 0, len(text), text)]
-                pieces += [
-                    (k, m.start(), m.end(), m.group())
-                    for k, m in enumerate(re.finditer("[^\n]+", text))
-                ]
+                lines = list(re.finditer("[^\n]+", text))
+                pieces += [(k, m.start(), m.end(), m.group()) for k, m in enumerate(lines)]
+                # A notice that is wrapped: a line with those after it, as many as still help.
+                for k in range(len(lines)):
+                    if wrapped.search(lines[k].group()):
+                        for last in range(k + 1, min(k + WRAPPED_LINES, len(lines))):
+                            start, end = lines[k].start(), lines[last].end()
+                            pieces.append((k, start, end, text[start:end]))
+                text_no = xxhash.xxh64_intdigest(text) - (1 << 63)
                 for number, start, end, body in pieces:
                     tf = Counter(terms(body))
                     if any(t in tf for t in NAMING):
-                        rows += [(path, number, start, end, t, n) for t, n in tf.items()]
-            columns = list(zip(*rows)) or [[]] * 6
-            types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32()]
+                        rows += [(path, text_no, number, start, end, t, n) for t, n in tf.items()]
+            columns = list(zip(*rows)) or [[]] * 7
+            types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32()]
             yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(columns, types)],
-                ["path", "part", "start", "end", "term", "tf"],
+                ["path", "text_no", "part", "start", "end", "term", "tf"],
             )
 
+    wrapped = re.compile("(?i)" + "|".join(WRAPS))
+    # Rows that repeat, path and text, are one.
     return files.select("path", "text").mapInArrow(
-        run, "path string, part int, start bigint, end bigint, term string, tf int"
-    )
+        run, "path string, text_no bigint, part int, start bigint, end bigint, term string, tf int"
+    ).distinct()
 
 
 def matches(files: DataFrame) -> DataFrame:
@@ -154,7 +212,7 @@ def matches(files: DataFrame) -> DataFrame:
     weighted = parts.join(idfs, "term", "left").withColumn(
         "w", F.col("tf") * F.coalesce("idf", F.lit(rare))
     )
-    key = ["path", "part", "start", "end"]
+    key = ["path", "text_no", "part", "start", "end"]
     norms = weighted.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = weighted.join(templates, "term").groupBy(*key, "template", "licence").agg(
         F.sum(F.col("w") * F.col("weight")).alias("dot")
@@ -163,7 +221,7 @@ def matches(files: DataFrame) -> DataFrame:
     same = [best[c].eqNullSafe(norms[c]) for c in key]
     return best.join(norms, same).select(
         *[best[c] for c in key], F.col("b.licence").alias("licence"),
-        (-F.col("b.d") / F.col("norm")).alias("score"),
+        F.least(F.lit(1.0), -F.col("b.d") / F.col("norm")).alias("score"),
     )
 
 

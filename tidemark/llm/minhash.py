@@ -32,7 +32,7 @@ def _filled_bins(text: Column) -> list[tuple[str, Column]]:
     words = F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
     n = F.size("mh_words")
     shingles = F.when(
-        n <= WORDS, F.array(F.xxhash64(F.array_join(F.transform("mh_words", F.hex), " ")))
+        n < WORDS, F.array(F.xxhash64(F.array_join(F.transform("mh_words", F.hex), " ")))
     ).otherwise(
         F.transform(
             F.sequence(F.lit(0), n - WORDS),

@@ -44,13 +44,12 @@ def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files source/lang/doc_id."""
+    """Documents as files source/lang/doc_id; what is null is an empty step, and a null id none."""
     docs = read(spark, sf_dir, "documents")
-    files = docs.select(F.concat_ws("/", "source", "lang", "doc_id").alias("path"), "text")
-    found = licences.scan(files)
-    return found.select(
-        F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "*"
-    )
+    steps = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "doc_id")]
+    found = licences.scan(docs.select(F.concat_ws("/", *steps).alias("path"), "text"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.select(F.nullif(name, F.lit("")).cast("bigint").alias("doc_id"), "*")
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,8 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}", least=16),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # Only where no letter of its own stands before, so that a long run is looked at once.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE_KINDS = 3
