@@ -39,7 +39,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 DRAWN = 4
-BLOCK = 256
+BLOCK = 128
 SEED = 3
 _RANDOM = np.random.default_rng(SEED)
 FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -48,7 +48,11 @@ OFFSETS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 BYTE_BASE, CONTENT_BASE, SHINGLE_BASE = (
     int(b) | 1 for b in _RANDOM.integers(1 << 40, 1 << 63, 3, dtype=np.uint64)
 )
-SHINGLES_AT_ONCE = 1 << 14
+SHINGLES_AT_ONCE = 1 << 11
+# Bytes of text that a task works on at once; every byte takes some tens of bytes of numbers.
+SLICE_BYTES = 2 << 20
+# Pairs of members counted at once.
+PAIRS_AT_ONCE = 1 << 20
 BLANKS = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
 
@@ -139,9 +143,9 @@ def band_hashes(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
     run = np.repeat(np.arange(runs), np.diff(edges))
     for at in range(0, len(shingles), SHINGLES_AT_ONCE):
         some, of = shingles[at:at + SHINGLES_AT_ONCE], run[at:at + SHINGLES_AT_ONCE]
-        values = some[:, None] * FACTORS[None, :] + OFFSETS[None, :]
-        values ^= values >> np.uint64(29)
-        values *= np.uint64(0xBF58476D1CE4E5B9)
+        # Shingles are well-mixed hashes already: a line through them is a random order.
+        values = some[:, None] * FACTORS[None, :]
+        values += OFFSETS[None, :]
         starts = np.flatnonzero(np.diff(of, prepend=-1))
         part = np.minimum.reduceat(values, starts, axis=0)
         least[of[starts]] = np.minimum(least[of[starts]], part)
@@ -185,7 +189,7 @@ def units(docs: DataFrame, id_col="doc_id", text_col="text", min_words=MIN_WORDS
         ], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SLICE_BYTES):
             texts = plain_strings(part.column(1))
             words = Words(texts)
             if not len(words.hash):
@@ -244,7 +248,7 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _bands(known: DataFrame) -> DataFrame:
     """(key, band): every band of every content."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SLICE_BYTES):
             if part.num_rows:
                 bands = band_hashes(*shingle_sets(part.column(1)))
                 yield pa.RecordBatch.from_arrays([
@@ -260,7 +264,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     b = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, column=2):
+        for part in text_slices(batches, column=2, limit=SLICE_BYTES // 2):
             n = part.num_rows
             if not n:
                 continue
@@ -287,16 +291,26 @@ def _pair(x: Column, y: Column) -> list[Column]:
 
 def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """How many shingles each set of x shares with each set of y."""
-    out = np.zeros((len(x), len(y)), np.int32)
+    n, m = len(x), len(y)
     left, right = np.concatenate(x), np.concatenate(y)
     lx, ly = (np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (x, y))
     order_x, order_y = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     left, right, lx, ly = left[order_x], right[order_y], lx[order_x], ly[order_y]
-    for value in np.intersect1d(left, right):
-        a = lx[np.searchsorted(left, value):np.searchsorted(left, value, side="right")]
-        b = ly[np.searchsorted(right, value):np.searchsorted(right, value, side="right")]
-        out[a[:, None], b[None, :]] += 1
-    return out
+    common = np.intersect1d(left, right)
+    from_x, from_y = np.searchsorted(left, common), np.searchsorted(right, common)
+    in_x = np.searchsorted(left, common, side="right") - from_x
+    in_y = np.searchsorted(right, common, side="right") - from_y
+    out = np.zeros(n * m, np.int64)
+    # Every shingle stands for the pairs of those that have it; as many shingles as fit at a time.
+    part = np.cumsum(in_x * in_y) // PAIRS_AT_ONCE
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    for at, end in zip(edges, edges[1:]):
+        pairs = (in_x * in_y)[at:end]
+        of = np.repeat(np.arange(at, end), pairs)
+        inside = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        i, j = lx[from_x[of] + inside // in_y[of]], ly[from_y[of] + inside % in_y[of]]
+        out += np.bincount(i * m + j, minlength=n * m)
+    return out.reshape(n, m)
 
 
 def _links_across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -345,12 +359,12 @@ def _links_across(rest: DataFrame, texts: DataFrame, similarity: float) -> DataF
 def links(every: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b), keys of contents, with enough links between them to connect all that are similar.
 
-    `every` has (key, text) as `units` gives them. Bands are worked out twice, once to count them
-    and once for those that occur more often, instead of being stored.
+    `every` has (key, text) as `units` gives them.
     """
     known = every.where("text IS NOT NULL").select("key", "text")
-    often = _bands(known).groupBy("band").count().where("count > 1").select("band")
-    met = store(_bands(known).join(often, "band").distinct(), "bands")
+    bands = store(_bands(known), "all-bands")
+    often = bands.groupBy("band").count().where("count > 1").select("band")
+    met = store(bands.join(often, "band").distinct(), "bands")
     drawn = met.groupBy("band").agg(
         F.min("key").alias("low"), F.max("key").alias("high"),
         *[F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"drawn{k}") for k in range(DRAWN)],
