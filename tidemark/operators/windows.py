@@ -89,26 +89,32 @@ def with_leaky_counter(
 ) -> DataFrame:
     """Add a counter per customer: +1 up to `cap` on a hit, else -1 down to 0, from 0.
 
-    Each month is a clamped step. Steps are composed with those 1, 2, 4, ... rows back, so after
-    the logarithm of `months` rounds each row holds the composition of everything before it. All
-    rounds share one exchange and sort, and a row carries three numbers however long the history.
-    `months` is the number of rows, before which the counter is known to be 0.
+    Each month is a clamped step. A round composes a step with those 1, 2 and 3 strides back, the
+    next stride is four times as long, so after the logarithm of `months` rounds each row holds the
+    composition of everything before it. All rounds share one exchange and sort, and a row carries
+    three numbers however long the history. `months` is the number of rows, before which the
+    counter is known to be 0.
     """
     order = Window.partitionBy("customer_id").orderBy(index)
     names = ["step_low", "step_high", "step_shift"]
     shift = F.when(F.coalesce(hit, F.lit(False)), F.lit(1)).otherwise(F.lit(-1))
     out = rows.select("*", F.lit(0).alias(names[0]), F.lit(cap).alias(names[1]), shift.alias(names[2]))
-    here = ClampedStep(*[F.col(n) for n in names])
-    back = 1
-    while back < months:
-        earlier = out.select("*", *[F.lag(n, back).over(order).alias(f"{n}_before") for n in names])
-        both = here.after(ClampedStep(*[F.col(f"{n}_before") for n in names]))
-        out = earlier.select(*rows.columns, *[
-            F.when(F.col(f"{n}_before").isNull(), F.col(n)).otherwise(value).alias(n)
-            for n, value in zip(names, both)
+    stride = 1
+    while stride < months:
+        out = out.select("*", *[
+            F.lag(n, k * stride).over(order).alias(f"{n}_{k}") for k in (1, 2, 3) for n in names
         ])
-        back *= 2
-    return out.select(*rows.columns, here(F.lit(0)).alias(name))
+        for k in (1, 2, 3):
+            here = ClampedStep(*[F.col(n) for n in names])
+            both = here.after(ClampedStep(*[F.col(f"{n}_{k}") for n in names]))
+            out = out.withColumns({
+                n: F.when(F.col(f"{n}_{k}").isNull(), F.col(n)).otherwise(value)
+                for n, value in zip(names, both)
+            })
+        out = out.select(*rows.columns, *names)
+        stride *= 4
+    final = ClampedStep(*[F.col(n) for n in names])
+    return out.select(*rows.columns, final(F.lit(0)).alias(name))
 
 
 def service_failure_counter(
