@@ -145,6 +145,23 @@ def test_source_month_follows_the_fact(spark):
     assert got["dormant_days"] is None
 
 
+def test_all_keys_in_one_grouping_equal_the_single_reports(spark, bank):
+    """Also with keys that are null, repeated or without a parent, and with an empty table."""
+    customers = bank.customer_master
+    no_id = customers.limit(2).withColumn("customer_id", F.lit(None).cast("bigint"))
+    snapshots = bank.product_holdings_monthly
+    broken = bank.replace(
+        customer_master=customers.filter("customer_id % 7 <> 0").unionAll(no_id).unionAll(customers.limit(3)),
+        product_holdings_monthly=snapshots.unionAll(snapshots.limit(5)),
+        card_portfolio=bank.card_portfolio.limit(0),
+    )
+    for some in (bank, broken):
+        alone = [r(some) for r in (quality.dq_single_pk, quality.dq_composite_grain, quality.dq_foreign_keys)]
+        want = sorted(row for report in alone for row in rows(report))
+        assert rows(quality.all_keys(some), "check_name") == want
+    assert sum(not r[1] for r in want) >= 5
+
+
 def test_schema_contract_reports_problems(spark):
     good = frame(spark, "customer_feedback", {
         "feedback_id": 1, "customer_id": 1, "feedback_date": month(1), "feedback_month": month(1),

@@ -245,6 +245,89 @@ def dq_date_monotonic(bank) -> DataFrame:
     ])
 
 
+KEY_PARTS = {T.LongType(): "key_number", T.StringType(): "key_text", T.DateType(): "key_date",
+             T.IntegerType(): "key_int"}
+
+
+def _key_facts(bank, spaces: list[str]) -> DataFrame:
+    """All keys and references of all tables, stacked: each table is read once.
+
+    A fact is a key value in the space of the table whose key it is; slot 0 is that table itself,
+    slot k the k-th reference to it.
+    """
+    facts: dict[str, list[Column]] = {table: [] for table in SCHEMAS}
+
+    def fact(space: str, slot: int, table: str, columns: tuple[str, ...]) -> None:
+        parts = {
+            name: F.lit(None).cast(kind.simpleString()).alias(name) for kind, name in KEY_PARTS.items()
+        }
+        is_null = F.lit(False)
+        for column in columns:
+            name = KEY_PARTS[SCHEMAS[table][column].dataType]
+            parts[name] = F.col(column).alias(name)
+            is_null = is_null | F.col(column).isNull()
+        facts[table].append(F.struct(
+            F.lit(spaces.index(space)).alias("space"), F.lit(slot).alias("slot"),
+            is_null.alias("is_null"), *parts.values(),
+        ))
+
+    for table, key in SINGLE_KEYS.items():
+        fact(table, 0, table, (key,))
+    for table, keys in COMPOSITE_KEYS.items():
+        fact(table, 0, table, keys)
+    for parent in SINGLE_KEYS:
+        references = [(child, column) for child, column, p in FOREIGN_KEYS if p == parent]
+        for slot, (child, column) in enumerate(references, 1):
+            fact(parent, slot, child, (column,))
+    return union_tables([
+        bank.table(table).select(F.inline(F.array(*rows))) for table, rows in facts.items() if rows
+    ])
+
+
+def all_keys(bank) -> DataFrame:
+    """The rows of `dq_single_pk`, `dq_composite_grain` and `dq_foreign_keys` from one grouping."""
+    keys = {t: (k,) for t, k in SINGLE_KEYS.items()} | dict(COMPOSITE_KEYS)
+    spaces = list(keys)
+    references = {
+        parent: [(child, column) for child, column, p in FOREIGN_KEYS if p == parent] for parent in spaces
+    }
+    slots = range(1, 1 + max(map(len, references.values())))
+    groups = _key_facts(bank, spaces).groupBy("space", "is_null", *KEY_PARTS.values()).agg(*[
+        F.count_if(F.col("slot") == k).alias(f"n{k}") for k in (0, *slots)
+    ])
+    orphan = ~F.col("is_null") & (F.col("n0") == 0)
+    totals = groups.groupBy("space").agg(
+        F.sum(F.when(F.col("is_null"), F.col("n0"))).alias("nulls"),
+        F.count_if(F.col("n0") > 1).alias("duplicates"),
+        *[F.sum(F.when(orphan, F.col(f"n{k}"))).alias(f"rows{k}") for k in slots],
+        *[F.count_if(orphan & (F.col(f"n{k}") > 0)).alias(f"keys{k}") for k in slots],
+    )
+    # A row per table, also for those without any.
+    numbered = inline_table(bank.spark, ("space",), [(k,) for k in range(len(spaces))])
+    counted = numbered.join(totals, "space", "left").fillna(0)
+
+    def check(space: str, name: str, violations: Column, *detail) -> Column:
+        return F.struct(
+            F.lit(spaces.index(space)).alias("of"), F.lit(name).alias("check_name"),
+            violations.alias("violations"), F.concat(*detail).alias("detail"),
+        )
+
+    checks = []
+    for space, columns in keys.items():
+        checks.append(check(
+            space, f"key {space}({', '.join(columns)})", F.col("nulls") + F.col("duplicates"),
+            F.lit("nulls="), "nulls", F.lit(", duplicates="), "duplicates",
+        ))
+        checks += [
+            check(
+                space, f"foreign key {child}({column}) -> {space}", F.col(f"rows{k}"),
+                F.lit("orphan rows="), f"rows{k}", F.lit(", keys="), f"keys{k}",
+            ) for k, (child, column) in enumerate(references[space], 1)
+        ]
+    found = counted.select("space", F.inline(F.array(*checks))).filter(F.col("of") == F.col("space"))
+    return _report(found, F.col("check_name"), F.col("violations"), F.col("detail"))
+
+
 REPORTS = (
     dq_single_pk, dq_composite_grain, dq_foreign_keys, dq_persona_churn_order, dq_dpd_order,
     dq_campaign_uptake, dq_low_sensitivity, leak_label_boundary, leak_complaint_window,
@@ -253,8 +336,12 @@ REPORTS = (
 
 
 def validation_report(bank) -> DataFrame:
-    """Every check, plus one row that passes only if all of them do."""
-    checks = union_tables([report(bank) for report in REPORTS])
+    """Every check, plus one row that passes only if all of them do.
+
+    Keys and references are checked together, so each table is read once for all of them.
+    """
+    others = REPORTS[3:]
+    checks = union_tables([all_keys(bank), *[report(bank) for report in others]])
     failed = F.count_if(~F.col("passed"))
     twice = F.explode(F.array(F.lit(False), F.lit(True))).alias("overall")
     stacked = checks.select("*", twice)
