@@ -25,9 +25,13 @@ SQL |= {
     "write_master": """SELECT account_id, customer_id, account_type, open_date, account_status,
         salary_account_flag, overdraft_limit FROM acct""",
     "write_month_partitions": "SELECT feedback_id, customer_id, feedback_month, nps_score FROM feedback",
-    "merge_chunk_outputs": """SELECT 'branch_master' AS table_name, branch_code AS id FROM branch
-        UNION ALL SELECT 'customer_master', CAST(customer_id AS VARCHAR) FROM cust
-        UNION ALL SELECT 'customer_complaints', CAST(complaint_id AS VARCHAR) FROM complaint""",
+    "merge_chunk_outputs": """SELECT 'branch_master' AS table_name, branch_code AS id,
+        city || '|' || state AS content FROM branch
+        UNION ALL SELECT 'customer_master', CAST(customer_id AS VARCHAR),
+          customer_since || '|' || branch_code || '|' || annual_income FROM cust
+        UNION ALL SELECT 'customer_complaints', CAST(complaint_id AS VARCHAR),
+          complaint_month || '|' || category || '|' || severity || '|' || resolved_flag
+        FROM complaint""",
 }
 
 # -- expressions ---------------------------------------------------------------------------
@@ -851,10 +855,15 @@ SQL |= {
           AS left_rows, count(*) FILTER (WHERE customer_id % 2 = 1) AS right_rows FROM {cte})"""
         for name, cte in PARITY_TABLES.items()
     ),
-    "parity_columns": "SELECT * FROM (VALUES " + ", ".join(
-        f"('{c}', CAST(0 AS BIGINT))"
-        for c in ("unmatched_rows", *FEATURE_SQL, "churned", "churn_date", "churn_reason")
-    ) + ") t(column_name, mismatches)",
+    "parity_columns": " UNION ALL ".join(
+        f"""SELECT '{column}' AS column_name, count(*) FILTER (WHERE {wrong}) AS mismatches
+        FROM label JOIN spine USING (customer_id, as_of_month)"""
+        for column, wrong in {
+            "unmatched_rows": "customer_id % 11 = 0",
+            **dict.fromkeys((*FEATURE_SQL, "churned", "churn_date", "churn_reason"), "false"),
+            "products_count": "customer_id % 5 = 0 AND customer_id % 11 <> 0",
+        }.items()
+    ),
     "stream_month_sink": f"""SELECT customer_id, snapshot_month, debit_txn_count,
         credit_txn_count, total_debit_amount, total_credit_amount, unique_merchants
         FROM activity WHERE {BUSY}""",

@@ -106,14 +106,23 @@ def merge_chunk_outputs(bank):
         parquet_io.write_bank(chunk, root, names)
         roots.append(root)
 
-    def merged(name, key):
-        rows = parquet_io.merge_chunk_outputs(
-            bank.spark, roots, name, "branch_code" if name == "branch_master" else None
+    root = scratch_path(bank.spark, "merged")
+    parquet_io.write_merged(bank.spark, roots, root, names)
+    # Each merged table with its key and some of what its rows hold.
+    held = {
+        "branch_master": ("branch_code", ("city", "state")),
+        "customer_master": ("customer_id", ("customer_since", "branch_code", "annual_income")),
+        "customer_complaints": (
+            "complaint_id", ("complaint_month", "category", "severity", "resolved_flag")
+        ),
+    }
+    return sets.union_tables([
+        parquet_io.read_table(bank.spark, root, name).select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("id"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("content"),
         )
-        return rows.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("id"))
-
-    keys = ("branch_code", "customer_id", "complaint_id")
-    return sets.union_tables([merged(n, k) for n, k in zip(names, keys)])
+        for name, (key, columns) in held.items()
+    ])
 
 
 def schema_contract(bank):
@@ -866,11 +875,17 @@ def parity_row_counts(bank):
 
 
 def parity_columns(bank):
-    """Window features against the join-shaped build, column by column."""
+    """Window features against the join-shaped build, column by column, with planted differences.
+
+    In the joined build one feature of every fifth customer is off by one, and every eleventh
+    customer is missing; nothing else may differ.
+    """
     base = written(bank)
-    return parity.parity_columns(
-        features.feature_snapshot(base), feature_snapshot_joins(base), list(LABEL_KEY)
+    off = F.when(F.col("customer_id") % 5 == 0, 1).otherwise(0)
+    other = feature_snapshot_joins(base).filter(F.col("customer_id") % 11 != 0).withColumn(
+        "products_count", (F.col("products_count") + off).cast("int")
     )
+    return parity.parity_columns(features.feature_snapshot(base), other, list(LABEL_KEY))
 
 
 # -- streams -------------------------------------------------------------------------------
