@@ -124,6 +124,6 @@ KS_TOLERANCE = {"annual_income": 0.05, "final_balance": 0.07, "txn_count": 0.05}
 ROW_COUNT_TOLERANCE = 0.25
 FLOAT_TOLERANCE = 2e-4
 
-# Survey sampling rates in millionths: customers with a resolved complaint, everybody else.
+# Survey sampling rates in millionths: customers with a resolved complaint, everybody else.
 RESOLVED_SURVEY_RATE = 200_000
 OTHER_SURVEY_RATE = 20_000

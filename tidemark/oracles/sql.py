@@ -63,10 +63,11 @@ SQL |= {
           CAST(count(*) FILTER (WHERE year(txn_month) = 2025) AS DOUBLE) AS r,
           CAST(count(*) FILTER (WHERE year(txn_month) = 2024) AS DOUBLE) AS p
         FROM txn GROUP BY customer_id)""",
-    "null_defaults": """SELECT customer_id, coalesce(days_since_last_txn, 180) AS dormant_days,
-        coalesce(CAST(nps AS DOUBLE), 8.0) AS best_nps FROM cust
-        LEFT JOIN (SELECT * FROM activity WHERE snapshot_month = DATE '2025-12-01') a
-          USING (customer_id)
+    "null_defaults": """SELECT customer_id, m AS snapshot_month,
+        coalesce(days_since_last_txn, 180) AS dormant_days,
+        coalesce(CAST(nps AS DOUBLE), 8.0) AS best_nps FROM cust CROSS JOIN months
+        LEFT JOIN (SELECT customer_id, snapshot_month AS m, days_since_last_txn FROM activity) a
+          USING (customer_id, m)
         LEFT JOIN (SELECT customer_id, max(nps_score) AS nps FROM feedback GROUP BY 1) f
           USING (customer_id)""",
     "floored_diff": """SELECT a.customer_id, CAST(greatest(0, a.products_count - b.products_count)

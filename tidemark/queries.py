@@ -24,7 +24,6 @@ from tidemark.streaming import monthly as stream_monthly
 
 MONTH = ("customer_id", "snapshot_month")
 LABEL_KEY = ("customer_id", "as_of_month", "prediction_horizon_months")
-LAST_MONTH = dt.date(2025, 12, 1)
 
 
 @lru_cache(maxsize=8)
@@ -152,15 +151,20 @@ def days_in_month(bank):
     ).select("txn_month", C.days_in_month(F.col("txn_month")).alias("days"), "txns")
 
 
+def month_of(bank, number: int):
+    """A month of the bank's window, from 0; -1 is the last."""
+    return F.add_months(F.lit(bank.first_month), number % bank.n_months)
+
+
 def tenure_months(bank):
     return bank.customer_master.select(
         "customer_id",
-        C.tenure_months(F.lit(LAST_MONTH), F.col("customer_since")).alias("tenure_months"),
+        C.tenure_months(month_of(bank, -1), F.col("customer_since")).alias("tenure_months"),
     )
 
 
 def ratio_change(bank):
-    second_year = F.col("txn_month") >= F.lit(dt.date(2025, 1, 1))
+    second_year = F.col("txn_month") >= month_of(bank, bank.n_months // 2)
     counts = bank.txns.groupBy("customer_id").agg(
         F.count_if(second_year).cast("double").alias("recent"),
         F.count_if(~second_year).cast("double").alias("prior"),
@@ -171,16 +175,14 @@ def ratio_change(bank):
 
 
 def null_defaults(bank):
-    at = F.col("snapshot_month") == F.lit(LAST_MONTH)
-    activity = bank.customer_monthly_activity.filter(at).select(
-        "customer_id", "days_since_last_txn"
-    )
+    """Every customer and month of the calendar, with what stands for missing values."""
+    activity = bank.customer_monthly_activity.select(*MONTH, "days_since_last_txn")
     nps = bank.customer_feedback.groupBy("customer_id").agg(F.max("nps_score").alias("nps"))
     return (
-        bank.customer_master.select("customer_id")
-        .join(activity, "customer_id", "left").join(nps, "customer_id", "left")
+        calendar(bank).select(*MONTH)
+        .join(activity, list(MONTH), "left").join(nps, "customer_id", "left")
         .select(
-            "customer_id",
+            *MONTH,
             F.coalesce("days_since_last_txn", F.lit(K.DEFAULT_DORMANT_DAYS)).alias("dormant_days"),
             F.coalesce(F.col("nps").cast("double"), F.lit(K.DEFAULT_NPS)).alias("best_nps"),
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
         context = spark.sparkContext
         folder = context.getCheckpointDir()
         if folder is None:
-            if not context.master.startswith("local"):
+            # Executors of a local cluster are processes like any other.
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tidemark-", dir="/tmp")
             context.setCheckpointDir(folder)

@@ -178,11 +178,11 @@ class StarBank(Bank):
             F.lit("Standard Cashback").alias("rewards_program"),
             F.lit("Classic").alias("reward_tier"),
         )
-        tiers = {p[0]: (p[6], p[7]) for p in K.PERSONAS}
+        personas = [dict(zip(K.PERSONA_FIELDS, p)) for p in K.PERSONAS]
 
-        def by_persona(position: int) -> Column:
+        def by_persona(field: str) -> Column:
             return F.element_at(
-                F.create_map(*[F.lit(v) for p in K.PERSONA_NAMES for v in (p, tiers[p][position])]),
+                F.create_map(*[F.lit(p[name]) for p in personas for name in ("persona", field)]),
                 F.col("persona"),
             )
 
@@ -192,8 +192,8 @@ class StarBank(Bank):
             F.col("customer_since").alias("issue_date"),
             F.when(c % 33 == 0, "Blocked").otherwise("Active").alias("card_status"),
             M.credit_limit(F.col("annual_income")).alias("credit_limit"),
-            by_persona(0).alias("rewards_program"),
-            by_persona(1).alias("reward_tier"),
+            by_persona("programme").alias("rewards_program"),
+            by_persona("tier").alias("reward_tier"),
         )
         leap = F.make_date((2012 + 4 * (c % 3)).cast("int"), F.lit(2), F.lit(29))
         held = F.filter(
