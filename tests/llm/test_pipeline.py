@@ -1,6 +1,6 @@
 import corpus_pipeline as pipeline
 from tests.llm.conftest import MODEL
-from tests.llm.test_sentencepiece_codec import best_cut
+from tests.llm.test_sentencepiece_codec import merges_of
 from tidemark.llm import secret_scan, sentencepiece_codec
 from tidemark.llm.common import store
 
@@ -36,7 +36,7 @@ def test_stages_take_effect_on_what_the_one_before_kept(spark):
     vocabulary = sentencepiece_codec.Vocabulary.load(MODEL)
     for r in rows:
         assert sentencepiece_codec.decode(r.ids, vocabulary) == texts[r.doc_id]
-    assert list(rows[0].ids) == best_cut(texts[rows[0].doc_id], vocabulary)
+    assert list(rows[0].ids) == merges_of(texts[rows[0].doc_id], vocabulary)
 
 
 def test_odd_rows_go_through_every_stage(spark, odd_docs, no_docs):
