@@ -9,6 +9,21 @@ from tidemark.session import reliable
 
 # Most rows of one key that a single task may order.
 TASK_ROWS = 5_000_000
+# Rows that a task should make of what it is dealt.
+MADE_ROWS = 1_000_000
+
+
+def dealt(
+    df: DataFrame, key: str, n_rows: int, each: int, fewest: int = 1, made_rows: int = MADE_ROWS
+) -> DataFrame:
+    """`n_rows` rows dealt by a key over so many tasks that none makes many more than `made_rows`.
+
+    For a table whose rows become up to `each` rows later on, such as a customer's months: its
+    file may be a few MB, hence a single task, and Spark would deal out what comes of it only
+    after that task has grouped or sorted it all. The number of tasks is set, so it stays.
+    """
+    fewest = max(fewest, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(fewest, -(-n_rows * each // made_rows)), key)
 
 
 def ordered_slices(

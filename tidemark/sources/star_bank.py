@@ -14,6 +14,7 @@ from tidemark import constants as K
 from tidemark.functions import calendar as C
 from tidemark.functions import money as M
 from tidemark.operators import aggregates, cards, ledger, loans
+from tidemark.operators.slices import dealt
 from tidemark.plans import features, labels
 from tidemark.session import scratch_path
 from tidemark.sources.bank import Bank
@@ -41,7 +42,7 @@ def flag(condition: Column) -> Column:
 
 
 class StarBank(Bank):
-    stored = frozenset({"txns"})
+    stored = frozenset({"txns", "churn_simulation_state"})
 
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark)
@@ -50,6 +51,12 @@ class StarBank(Bank):
     def build(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
+    def derived(self, name: str, written: dict[str, DataFrame]) -> DataFrame:
+        other = StarBank(self.spark, self._root)
+        other._tables.update(written)
+        other.build = lambda n: self.table(n) if n in self.stored else StarBank.build(other, n)
+        return other.build(name)
+
     def _raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._root}/{name}.parquet")
 
@@ -57,12 +64,14 @@ class StarBank(Bank):
 
     def _customers(self) -> DataFrame:
         """Customers with the columns every master derives from."""
-        nation = self._raw("nation").join(
+        # One row per nation. Without the hint the pruned customer file is estimated to be smaller
+        # and is sent instead, which leaves the customers to the single task of the nations.
+        nation = F.broadcast(self._raw("nation").join(
             self._raw("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        ))
         c = F.col("c_custkey")
         balance = F.col("c_acctbal").cast("decimal(18,2)")
-        return (
+        rows = (
             self._raw("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
@@ -81,6 +90,17 @@ class StarBank(Bank):
                 "c_name", "c_mktsegment",
             )
         )
+        return self._dealt(rows)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """A row per customer, dealt out for its months and horizons."""
+        n = self._raw("customer").count()
+        return dealt(rows, "customer_id", n, self.n_months * len(K.HORIZONS))
+
+    def _dealt_accounts(self, rows: DataFrame) -> DataFrame:
+        """Up to two rows per customer, dealt out for their months as their joins will need them."""
+        n, shuffled = self._raw("customer").count(), self.spark.conf.get("spark.sql.shuffle.partitions")
+        return dealt(rows, "account_id", 2 * n, self.n_months, int(shuffled))
 
     def _branch_master(self) -> DataFrame:
         key = F.col("n_nationkey")
@@ -148,12 +168,12 @@ class StarBank(Bank):
         rows = self.customers.select(
             "customer_id", "branch_code", F.explode(accounts).alias("a")
         )
-        return rows.select(
+        return self._dealt_accounts(rows.select(
             "a.account_id", "customer_id", "branch_code", "a.account_type", "a.open_date",
             "a.account_status", F.lit("INR").alias("account_currency"),
             "a.salary_account_flag", "a.overdraft_limit",
             F.lit(None).cast("date").alias("account_close_date"),
-        )
+        ))
 
     def _account_openings(self) -> DataFrame:
         c = F.col("customer_id")
@@ -165,7 +185,7 @@ class StarBank(Bank):
             (F.col("wealth") / 2).cast("decimal(18,2)").alias("opening_balance"),
         )
         openings = F.when(c % 5 == 0, F.array(savings, current)).otherwise(F.array(savings))
-        return self.customers.select(F.inline(openings))
+        return self._dealt_accounts(self.customers.select(F.inline(openings)))
 
     def _card_portfolio(self) -> DataFrame:
         c = F.col("customer_id")
@@ -246,10 +266,12 @@ class StarBank(Bank):
         Nearly every table derives from it with other columns; each would repeat the grouping and
         join of the raw files, while a stored log is scanned with exactly the columns needed.
         """
-        path = scratch_path(self.spark, "transaction-log")
-        log = self._derived_txns()
-        log.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(log.schema).parquet(path)
+        return self._stored(self._derived_txns(), "transaction-log")
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def _derived_txns(self) -> DataFrame:
         """Transactions from order lines, without balances.
@@ -463,7 +485,11 @@ class StarBank(Bank):
         )
 
     def _churn_simulation_state(self) -> DataFrame:
-        """A customer is gone in the month after the last transaction, if the window covers it."""
+        """A customer is gone in the month after the last transaction, if the window covers it.
+
+        Written once: it starts the calendar of nearly every monthly table, each of which would
+        look for the last transactions again.
+        """
         last = self.txns.groupBy("customer_id").agg(F.max("txn_month").alias("last_month"))
         c = F.col("customer_id")
         end = F.lit(K.FIRST_MONTH)
@@ -474,14 +500,14 @@ class StarBank(Bank):
             "customer_id", "persona", (c % 8 == 0).alias("low_sensitivity_segment"),
             churn.alias("churn_month"),
         )
-        return rows.select(
+        return self._dealt(self._stored(rows.select(
             "customer_id", "persona", "low_sensitivity_segment", "churn_month",
             F.col("churn_month").isNotNull().alias("churned_flag"),
             F.when(F.col("churn_month").isNotNull(), pick(K.CHURN_REASONS, c % 7))
             .alias("churn_reason"),
             F.coalesce(active, F.lit(self.n_months)).cast("int")
             .alias("active_months_generated"),
-        )
+        ), "churn-state"))
 
     def _customer_churn_label(self) -> DataFrame:
         return labels.churn_label(
