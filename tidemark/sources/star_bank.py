@@ -97,10 +97,10 @@ class StarBank(Bank):
         n = self._raw("customer").count()
         return dealt(rows, "customer_id", n, self.n_months * len(K.HORIZONS))
 
-    def _dealt_accounts(self, rows: DataFrame) -> DataFrame:
+    def _dealt_by(self, key: str, rows: DataFrame) -> DataFrame:
         """Up to two rows per customer, dealt out for their months as their joins will need them."""
         n, shuffled = self._raw("customer").count(), self.spark.conf.get("spark.sql.shuffle.partitions")
-        return dealt(rows, "account_id", 2 * n, self.n_months, int(shuffled))
+        return dealt(rows, key, 2 * n, self.n_months, int(shuffled))
 
     def _branch_master(self) -> DataFrame:
         key = F.col("n_nationkey")
@@ -168,7 +168,7 @@ class StarBank(Bank):
         rows = self.customers.select(
             "customer_id", "branch_code", F.explode(accounts).alias("a")
         )
-        return self._dealt_accounts(rows.select(
+        return self._dealt_by("account_id", rows.select(
             "a.account_id", "customer_id", "branch_code", "a.account_type", "a.open_date",
             "a.account_status", F.lit("INR").alias("account_currency"),
             "a.salary_account_flag", "a.overdraft_limit",
@@ -185,7 +185,7 @@ class StarBank(Bank):
             (F.col("wealth") / 2).cast("decimal(18,2)").alias("opening_balance"),
         )
         openings = F.when(c % 5 == 0, F.array(savings, current)).otherwise(F.array(savings))
-        return self._dealt_accounts(self.customers.select(F.inline(openings)))
+        return self._dealt_by("account_id", self.customers.select(F.inline(openings)))
 
     def _card_portfolio(self) -> DataFrame:
         c = F.col("customer_id")
@@ -223,14 +223,14 @@ class StarBank(Bank):
         rows = self.customers.withColumn(
             "open_date", F.when(c % 7 == 0, leap).otherwise(F.col("customer_since"))
         ).select("customer_id", F.explode(held).alias("k"))
-        return rows.select(
+        return self._dealt_by("card_id", rows.select(
             "k.card_id", "customer_id", "k.card_type",
             F.when(c % 2 == 0, "Visa").otherwise("RuPay").alias("network"),
             "k.issue_date",
             C.plus_years_leap(F.col("k.issue_date"), 5).alias("expiry_date"),
             "k.card_status", F.lit(True).alias("primary_card_flag"), "k.credit_limit",
             "k.rewards_program", "k.reward_tier",
-        )
+        ))
 
     def _loan_master(self) -> DataFrame:
         c = F.col("customer_id")
@@ -247,7 +247,7 @@ class StarBank(Bank):
             F.when(personal, 12 * (1 + c % 5)).otherwise(120).cast("int").alias("tenure_months"),
         )
         terms = (F.col("sanctioned_amount"), F.col("interest_rate"), F.col("tenure_months"))
-        return rows.select(
+        return self._dealt_by("loan_id", rows.select(
             *rows.columns,
             M.money(M.emi_amount(*terms)).alias("emi_amount"),
             F.when(F.col("loan_type") == "Home Loan", "Property Purchase").otherwise("General")
@@ -256,7 +256,7 @@ class StarBank(Bank):
             F.lit("Active").alias("loan_status"),
             C.maturity_date(F.col("disbursement_date"), F.col("tenure_months"))
             .alias("maturity_date"),
-        )
+        ))
 
     # -- facts -----------------------------------------------------------------------------
 
