@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, quality, secret_scan, sentencepiece_codec, simhash
-from tidemark.llm.common import read, store
+from tidemark.llm.common import by_merge, read, store
 from tidemark.llm.queries import QUALITY_BAR, TARGETS, tokenizer_file
 from tidemark.session import scratch_path
 
@@ -32,7 +32,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     found = simhash.near_duplicates(docs, width=3, distance=2)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(f"{OWN}id")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == kept[f"{OWN}id"]).select(*docs.columns)
+    chosen = docs.join(by_merge(kept), docs["doc_id"] == kept[f"{OWN}id"]).select(*docs.columns)
     return chosen.dropDuplicates(["doc_id"]).union(docs.where(F.col("doc_id").isNull()))
 
 
@@ -42,7 +42,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     spans = secret_scan.scan_unseen(docs, ledger, "0")
     spans = spans.select(F.col("blob").alias(f"{OWN}blob"), F.col("spans").alias(f"{OWN}spans"))
     blob = F.sha2(F.coalesce("text", F.lit("")), 256)
-    marked = docs.join(spans, blob == F.col(f"{OWN}blob"), "left")
+    marked = docs.join(by_merge(spans), blob == F.col(f"{OWN}blob"), "left")
     text = secret_scan.masked(F.col("text"), F.col(f"{OWN}spans"))
     changed = F.col(f"{OWN}spans").isNotNull()
     return marked.withColumn("text", text).withColumn(
@@ -57,7 +57,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     rated = mixing.fit_rates(members, model.names, TARGETS, "clean", max_rate=1.0)
     left_out = rated.where(mixing.copies(F.col("rate"), F.col("doc_id")) == 0)
     left_out = left_out.select(F.col("doc_id").alias(f"{OWN}id")).distinct()
-    return docs.join(left_out, docs["doc_id"] == left_out[f"{OWN}id"], "left_anti")
+    return docs.join(by_merge(left_out), docs["doc_id"] == left_out[f"{OWN}id"], "left_anti")
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@ import random
 import pytest
 import xxhash
 
+import corpus_pipeline as pipeline
 from tests.llm.conftest import edited, words
-from tidemark.llm import simhash
+from tidemark.llm import components, secret_scan, simhash
 from tidemark.llm.components import connected_components
+from tidemark.session import scratch_path
 
 MASK = (1 << 64) - 1
 
@@ -91,3 +93,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
     }
     assert len(found) == 41 + 60
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_grows_with_the_documents_is_not_broadcast(spark):
+    """A few MB of fingerprints are 28 cells each: hundreds of MB on the driver, then its end."""
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(50)], "doc_id long, text string")
+    prints = spark.createDataFrame([(1,), (3,), (7,)], "fp long")
+    assert "BroadcastHashJoin" not in plan(simhash.links(prints))
+    edges = spark.createDataFrame([(2, 1), (3, 2)], "high long, low long")
+    assert "BroadcastHashJoin" not in plan(components._small_star(components._large_star(edges)))
+    assert "BroadcastHashJoin" not in plan(simhash.near_duplicates(docs))
+    assert "BroadcastHashJoin" not in plan(pipeline.simhash_near_dedup(spark, docs, ""))
+    assert "BroadcastHashJoin" not in plan(secret_scan.scan_versions(
+        docs, secret_scan.BlobLedger(spark, scratch_path(spark, "ledger")), "0", "doc_id"
+    ))

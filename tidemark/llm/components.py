@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store
+from tidemark.llm.common import by_merge, store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("node").agg(F.min("other").alias("near"))
     root = F.least("node", "near")
     return (
-        both.join(least, "node").where(F.col("other") > F.col("node"))
+        both.join(by_merge(least), "node").where(F.col("other") > F.col("node"))
         .select(F.col("other").alias("high"), root.alias("low")).distinct()
     )
 
@@ -22,7 +22,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     least = edges.groupBy("high").agg(F.min("low").alias("root"))
-    moved = edges.join(least, "high").where(F.col("low") > F.col("root")).select(
+    moved = edges.join(by_merge(least), "high").where(F.col("low") > F.col("root")).select(
         F.col("low").alias("high"), F.col("root").alias("low")
     )
     return moved.union(least.select("high", "root")).distinct()

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import stats
-from tidemark.llm.common import id_and_text, store, text_slices
+from tidemark.llm.common import by_merge, id_and_text, store, text_slices
 
 # Documented bound of the labelled rows that the classifier is fitted on.
 LABELLED_ROWS = 6_000
@@ -128,7 +128,7 @@ def fit_classifier(
     """
     drawn = (
         docs.select(F.col(id_col).cast("bigint").alias("doc_id"))
-        .join(labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL"), "doc_id")
+        .join(by_merge(labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL")), "doc_id")
         .select("doc_id", "domain").distinct()
         .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "domain").limit(rows)
     )

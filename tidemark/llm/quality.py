@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import stats
-from tidemark.llm.common import id_and_text, store, text_slices
+from tidemark.llm.common import by_merge, id_and_text, store, text_slices
 
 FEATURES = 192
 RIDGE = 1e-3
@@ -112,7 +112,7 @@ def fit(x: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model:
     the score of every document is 0.5.
     """
     known = labels.select("doc_id", F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
-    rows = store(x.join(known, "doc_id"), "quality-train")
+    rows = store(x.join(by_merge(known), "doc_id"), "quality-train")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(10))
     n_stats = len(stats.FULL)
     moments = _summed(rows, lambda v, _: np.stack([v ** 0, v, v * v]).sum(axis=1))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tidemark.llm.common import text_slices
+from tidemark.llm.common import by_merge, text_slices
 
 SPANS = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>"
 FOUND = f"blob string, rule_version string, spans {SPANS}"
@@ -146,7 +146,7 @@ def scan_unseen(
     """
     others = ledger.scanned(rule_version, but=batch)
     unseen = (
-        _packed(versions, text_col).join(others, "blob", "left_anti")
+        _packed(versions, text_col).join(by_merge(others), "blob", "left_anti")
         .groupBy("blob").agg(F.first("packed").alias("packed"))
     )
     ledger.append(batch, _scan(unseen, rules, rule_version))
@@ -165,7 +165,7 @@ def scan_versions(
     hits = scan_unseen(versions, ledger, batch, text_col, rules, rule_version)
     content = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     at = versions.select(F.col(path_col).alias("path"), F.sha2(content, 256).alias("blob"))
-    return at.join(hits, "blob", "left").select(
+    return at.join(by_merge(hits), "blob", "left").select(
         "path", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")
     )
 

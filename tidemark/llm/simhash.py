@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, store, text_slices
+from tidemark.llm.common import by_merge, id_and_text, store, text_slices
 from tidemark.llm.components import connected_components
 
 HASH_SEED = 42
@@ -119,7 +119,7 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
         & (_largest_difference(F.col("a.far"), F.col("b.far")) <= distance)
         & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
     )
-    return a.join(b, near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+    return a.join(by_merge(b), near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -134,12 +134,12 @@ def near_duplicates(
     prints = store(fingerprints(docs, width, id_col, text_col), "simhash")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     joined = connected_components(links(classes.select("fp"), distance))
-    rooted = classes.join(joined, classes.fp == joined.node, "left").select(
+    rooted = classes.join(by_merge(joined), classes.fp == joined.node, "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    lookup = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(lookup, "fp").select("doc_id", "fp", "component_id")
+    lookup = rooted.join(by_merge(least), "root").select("fp", "component_id")
+    return prints.join(by_merge(lookup), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
