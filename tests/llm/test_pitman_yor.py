@@ -80,6 +80,56 @@ def test_gibbs_finds_the_stationary_number_of_tables():
     assert np.mean(means) == pytest.approx(exact, rel=0.03)
 
 
+def mean_tables(c, d, p):
+    """Of one row of c customers in a restaurant of its own, by the recursion of the weights."""
+    log = np.full(c + 2, -np.inf)
+    log[1] = 0
+    t = np.arange(1, c + 2)
+    with np.errstate(divide="ignore"):
+        for n in range(1, c):
+            stay = np.log(np.maximum(n - d * t, 0)) + log[1:]
+            log[1:] = np.logaddexp(log[:-1], stay)
+    log = log[1:c + 1] + np.cumsum(np.log(model.STRENGTH + d * np.arange(c))) + t[:c] * math.log(p)
+    weight = np.exp(log - log.max())
+    return (weight * t[:c]).sum() / weight.sum()
+
+
+@pytest.mark.parametrize("c, d, p", [(2, 0.8, 0.5), (32, 0.7, 0.2), (40, 0.8, 0.9), (500, 0.75, 0.4), (3000, 0.6, 0.5)])
+def test_a_few_sweeps_move_every_customer(c, d, p):
+    """Rows that start at one table; one customer a sweep left the large ones there."""
+    random = np.random.default_rng(5)
+    copies = 3000
+    seating = model.Seating(np.arange(copies), np.zeros(copies, int), d)
+    seating.open(np.full(copies, c), np.ones(copies, np.int64), random)
+    above, means = np.full(copies, p), []
+    for sweep in range(30):
+        seating.reseat(above, random)
+        if sweep >= model.BURN_IN:
+            means.append(seating.t.mean())
+    assert np.mean(means) == pytest.approx(mean_tables(c, d, p), rel=0.03)
+
+
+def test_rows_of_a_restaurant_are_sampled_together():
+    """Two rows of one restaurant against all pairs of their tables."""
+    c, d, p = (6, 9), 0.6, (0.5, 0.2)
+    ways = [np.exp(model._exact_ways(d)[n, :n + 1]) for n in c]
+    rising = np.cumprod([1.0] + [model.STRENGTH + d * k for k in range(sum(c))])
+    joint = np.array([[
+        ways[0][a] * ways[1][b] * p[0] ** a * p[1] ** b * rising[a + b] for b in range(c[1] + 1)
+    ] for a in range(c[0] + 1)])
+    joint /= joint.sum()
+    wanted = [(joint.sum(axis=1 - k) * np.arange(c[k] + 1)).sum() for k in (0, 1)]
+    random, copies = np.random.default_rng(7), 1000
+    seating = model.Seating(np.repeat(np.arange(copies), 2), np.zeros(2 * copies, int), d)
+    seating.open(np.tile(c, copies), np.ones(2 * copies, np.int64), random)
+    above, means = np.tile(p, copies), []
+    for sweep in range(120):
+        seating.reseat(above, random)
+        if sweep >= 20:
+            means.append(seating.t.reshape(-1, 2).mean(axis=0))
+    assert np.mean(means, axis=0) == pytest.approx(wanted, rel=0.02)
+
+
 def test_base_and_counts_against_plain_python(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in docs}
