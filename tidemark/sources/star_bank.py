@@ -16,7 +16,7 @@ from tidemark.functions import money as M
 from tidemark.operators import aggregates, cards, ledger, loans
 from tidemark.operators.slices import dealt
 from tidemark.plans import features, labels
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, write_parquet
 from tidemark.sources.bank import Bank
 
 
@@ -269,9 +269,7 @@ class StarBank(Bank):
         return self._stored(self._derived_txns(), "transaction-log")
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return write_parquet(df, scratch_path(self.spark, name))
 
     def _derived_txns(self) -> DataFrame:
         """Transactions from order lines, without balances.
